@@ -41,7 +41,7 @@ def format_lag(c: Column) -> Column:
 
 def one_decimal(c: Column) -> Column:
     # Ties go to the even digit; the size steps are exact binary fractions.
-    return F.format_string("%.1f", F.bround(c, 1))
+    return F.when(c.isNotNull(), F.format_string("%.1f", F.bround(c, 1)))
 
 
 def format_bytes(c: Column, *, sep: str = "") -> Column:

@@ -64,10 +64,12 @@ def resource_rows(payload: DataFrame) -> DataFrame:
 
 def _metric(metrics: Column, names: Sequence[str]) -> Column:
     """The first of ``names`` among the metrics; the last entry of a repeated name wins."""
-    found = [
-        F.get(F.reverse(F.filter(metrics, lambda m, n=n: F.lower(F.trim(m["name"])) == n)), F.lit(0)) for n in names
-    ]
-    return F.coalesce(*found)
+
+    def last(name: str) -> Column:
+        same = F.filter(metrics, lambda m: F.lower(F.trim(m["name"])) == name)
+        return F.get(F.reverse(same), F.lit(0))
+
+    return F.coalesce(*[last(n) for n in names])
 
 
 def _shown(metric: Column) -> Column:
@@ -102,7 +104,7 @@ def component_metrics(rows: DataFrame, order: str = "ord") -> DataFrame:
     usage = F.col("usage_percent").try_cast("double")
     cpu = F.coalesce(
         _shown(_metric(m, ("cpu", "porcentaje"))),
-        F.when(~F.isnan(usage), F.concat(one_decimal(usage), F.lit("%"))),
+        F.when(usage.isNotNull() & ~F.isnan(usage), F.concat(one_decimal(usage), F.lit("%"))),
     )
     shown = lambda c: F.coalesce(c, F.lit(NOT_AVAILABLE))
     return last.select(

@@ -82,7 +82,7 @@ def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
 # --- roads ----------------------------------------------------------------------------
 
 
-def road_base_stats(counts: DataFrame, order: str = ORDER) -> DataFrame:
+def road_base_stats(counts: DataFrame, order: str = ORDER, *, extra: Sequence[Column] | None = None) -> DataFrame:
     """Per road: rows, distinct days, first known descriptors, mean and population deviation."""
     present = {n: s for n, (s, _) in _ROAD_STATS.items() if s in counts.columns}
     measured = counts.groupBy("road_name").agg(
@@ -90,6 +90,7 @@ def road_base_stats(counts: DataFrame, order: str = ORDER) -> DataFrame:
         F.count_distinct("observation_date").alias("days_observed"),
         *[F.avg(s).alias(f"{n}_mean") for n, s in present.items()],
         *[F.coalesce(F.stddev_pop(s), F.lit(0.0)).alias(f"{n}_std") for n, s in present.items()],
+        *(extra or []),
     )
     described = first_values(
         counts, ["road_name"],
@@ -161,15 +162,12 @@ def road_profile(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS,
     Every input is an aggregate by road name, so the joins reuse one partitioning. Two
     names with one slug share an id; the later name wins.
     """
-    base = road_base_stats(counts, order).where(F.col("observation_count") >= min_observations)
-    baseline = road_baseline(road_hour_profile(counts))
-    with_mix = counts.groupBy("road_name").agg(
-        *[F.sum(s).alias(s) for s, _, _ in VEHICLE_CLASSES if s in counts.columns]
-    )
-    whole = reduce(add, [F.coalesce(F.col(c), F.lit(0.0)) for c in with_mix.columns[1:]])
-    rows = base.join(baseline, "road_name").join(
-        with_mix.where(whole > 0).select("road_name"), "road_name", "left_semi"
+    classes = [F.coalesce(s, F.lit(0.0)) for s, _, _ in VEHICLE_CLASSES if s in counts.columns]
+    all_classes = F.sum(reduce(add, classes, F.lit(0.0))).alias("all_classes")
+    base = road_base_stats(counts, order, extra=[all_classes]).where(
+        (F.col("observation_count") >= min_observations) & (F.col("all_classes") > 0)
     )
+    rows = base.join(road_baseline(road_hour_profile(counts)), "road_name")
     stats = []
     for n, (source, least) in _ROAD_STATS.items():
         if source in counts.columns:
@@ -246,13 +244,16 @@ def region_road_share(counts: DataFrame, roads: DataFrame) -> DataFrame:
     traffic = _region_shares(counts, "road_name").select(
         F.col("region_filled").alias("region_name"), F.col("key").alias("road_name"), "weight"
     )
-    matched = assigned.join(traffic, ["region_name", "road_name"]).select("region_name", "road_id", "weight")
-    unmatched = assigned.join(matched.select("region_name").distinct(), "region_name", "left_anti")
-    fallback = shares(
-        unmatched.select("region_name", "road_id", "baseline_rate_per_minute"),
-        ["region_name"], "baseline_rate_per_minute",
+    base = F.col("baseline_rate_per_minute")
+    both = assigned.join(traffic, ["region_name", "road_name"], "left")
+    regions = both.groupBy("region_name").agg(
+        F.count("weight").alias("_matched"), F.sum(F.when(base > 0, base)).alias("_baselines")
+    )
+    weight = F.when(F.col("_matched") > 0, F.col("weight")).when(base > 0, base / F.col("_baselines"))
+    return (
+        both.join(regions, "region_name").select("region_name", "road_id", weight.alias("weight"))
+        .where(F.col("weight").isNotNull())
     )
-    return matched.unionByName(fallback)
 
 
 def region_profile(counts: DataFrame, roads: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from roadpulse.operators import scoring as S
 from roadpulse.functions import display
 from roadpulse.plans import inputs as I
 from roadpulse.sources import driver_tables as src
+from roadpulse.session import staged
 from roadpulse.sources.tables import first_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,26 +120,29 @@ def _completed(s, sf):
     """Hours of the running profiles, where a high bar leaves some roads without any."""
     hours = U.runtime_hours(I.run_stats(s, sf), min_observations=20)
     return P.complete_hour_profile(
+        # Odd hours lose their deviation, so its default shows.
         hours.withColumn("std_per_minute", F.when(F.col("hour") % 2 == 0, F.col("std_per_minute"))),
         I.run_roads(s, sf).select("road_id", "baseline_rate_per_minute"),
     )
 
 
 def _expected_rate(s, sf):
-    counts, roads = I.counts(s, sf), P.assigned_region(I.roads(s, sf))
-    regions = P.validated_region(P.region_profile(counts, I.roads(s, sf)))
+    counts = I.counts(s, sf)
+    # The profile tables are read several times below, as their stored form would be.
+    roads = staged(P.assigned_region(I.roads(s, sf)))
+    regions = staged(P.validated_region(P.region_profile(counts, roads)))
     road_hours = P.complete_hour_profile(P.by_road_id(roads, P.road_hour_profile(counts)), roads)
     region_hours = P.complete_hour_profile(P.region_hour_profile(counts), regions, "region_name")
-    share = P.region_road_share(counts, I.roads(s, sf))
-    return S.expected_road_rate(roads, road_hours, share, regions, region_hours)
+    share = P.region_road_share(counts, roads)
+    return S.expected_road_rate(roads, staged(road_hours), share, regions, region_hours)
 
 
 def _predict(s, sf):
-    counts, roads = I.counts(s, sf), I.roads(s, sf)
+    counts, roads = I.counts(s, sf), staged(I.roads(s, sf))
     return S.predict(
         I.requests(s, sf), roads,
         P.by_road_id(roads, P.road_hour_profile(counts)),
-        P.by_road_id(roads, P.road_direction_mix(counts)),
+        staged(P.by_road_id(roads, P.road_direction_mix(counts))),
     ).drop("model", "notes")
 
 
@@ -167,6 +171,16 @@ def _first_available(s, sf):
     return first_available([strict.select(*cols), I.roads(s, sf).select(*cols)])
 
 
+def _meta(s, sf):
+    counts, roads = I.counts(s, sf), staged(I.roads(s, sf))
+    return P.profile_meta(roads, P.region_profile(counts, roads), P.segment_catalogue(counts))
+
+
+def _slices(s, sf):
+    roads = staged(I.roads(s, sf))
+    return P.region_slices(P.region_profile(I.counts(s, sf), roads), roads)
+
+
 def _raw_index(s, sf):
     """A region index with the faults of a foreign file."""
     nth = F.length("region_name")
@@ -236,14 +250,12 @@ _QUERIES: dict[str, Query] = {
     "region_vehicle_mix": lambda s, sf: P.region_vehicle_mix(I.counts(s, sf), I.roads(s, sf)),
     "region_direction_mix": lambda s, sf: P.region_direction_mix(I.counts(s, sf), I.roads(s, sf)),
     "region_authority_mix": lambda s, sf: P.region_authority_mix(I.counts(s, sf), I.roads(s, sf)),
-    "region_road_share": lambda s, sf: P.region_road_share(I.counts(s, sf), I.roads(s, sf)),
+    "region_road_share": lambda s, sf: P.region_road_share(I.counts(s, sf), staged(I.roads(s, sf))),
     "region_profile": _regions,
     "road_index": lambda s, sf: P.road_index(I.roads(s, sf)).orderBy("road_name"),
     "region_index": lambda s, sf: P.region_index(_regions(s, sf)).orderBy("region_name"),
-    "profile_meta": lambda s, sf: P.profile_meta(
-        I.roads(s, sf), _regions(s, sf), P.segment_catalogue(I.counts(s, sf))
-    ),
-    "region_slices": lambda s, sf: P.region_slices(_regions(s, sf), I.roads(s, sf)),
+    "profile_meta": _meta,
+    "region_slices": _slices,
     "list_regions_clean": lambda s, sf: P.list_regions_clean(_raw_index(s, sf)),
     "first_available": _first_available,
     # running profiles
@@ -259,7 +271,7 @@ _QUERIES: dict[str, Query] = {
     "runtime_direction_mix": lambda s, sf: U.runtime_direction_mix(U.direction_counts(I.events(s, sf))),
     "runtime_region_profile": lambda s, sf: U.runtime_region_profile(I.run_roads(s, sf)),
     # scoring
-    "lookup_profile": lambda s, sf: S.lookup_profile(I.requests(s, sf), I.roads(s, sf)),
+    "lookup_profile": lambda s, sf: S.lookup_profile(I.requests(s, sf), staged(I.roads(s, sf))),
     "predict": _predict,
     "scaling_factor": lambda s, sf: S.scaling_factor(I.region_series(s, sf), ["region_name"]),
     "forecast_5min": _forecast,

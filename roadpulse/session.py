@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: they can be set on a session somebody else built.
 RUNTIME_CONF = {
@@ -29,6 +29,7 @@ def local_session(cores: str = "8", app: str = "roadpulse") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .getOrCreate()
@@ -45,3 +46,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
     return tempfile.mkdtemp(prefix="roadpulse-")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` computed once and stored in the shared folder, for results that are read
+    several times. The files outlive lost executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.checkpoint()

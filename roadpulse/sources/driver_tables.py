@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ _EPOCH_2024 = 1704067200000000  # microseconds
 _TIME_COMPRESSION = 60  # 30 days of events become 12 hours, so minutes hold several events
 
 
+@lru_cache(maxsize=64)
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
