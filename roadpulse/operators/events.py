@@ -14,7 +14,7 @@ from roadpulse.schemas import VEHICLE_CLASSES
 UNKNOWN = "Unknown"
 UNKNOWN_ROAD = "Unknown road"
 TIME_FIELDS = ("event_timestamp", "timestamp", "observation_time")
-_TRANSPORT = ("topic", "partition", "offset", "ingest_ts", "batch_id")
+_TRANSPORT = ("topic", "partition", "offset", "ingest_ts", "batch_id", "value")
 # An arrival number keeps the partition above the offset in one BIGINT,
 # so "first event" needs no struct in the aggregation buffers.
 _OFFSET_BITS = 48
@@ -24,7 +24,7 @@ def split_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """JSON text to (objects with a VARIANT column ``v``, everything else as dead letters)."""
     parsed = raw.withColumn("v", F.try_parse_json("value"))
     is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-    return parsed.where(is_object).drop("value"), parsed.where(~is_object).drop("v")
+    return parsed.where(is_object), parsed.where(~is_object).drop("v")
 
 
 def variant_fields(v: str = "v") -> M.Field:
@@ -128,7 +128,7 @@ def _arrival(kept: list[str]) -> Column:
 def parse_events(raw: DataFrame, *, heavy_fallback: str = "zero") -> DataFrame:
     """JSON text to normalised events; payloads that are not JSON objects are left out."""
     objects, _ = split_payloads(raw)
-    return normalise_events(objects, field=variant_fields(), heavy_fallback=heavy_fallback)
+    return normalise_events(objects.drop("value"), field=variant_fields(), heavy_fallback=heavy_fallback)
 
 
 def silver_keys(events: DataFrame) -> DataFrame:

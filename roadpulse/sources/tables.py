@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def first_available(sources: Sequence[DataFrame]) -> DataFrame:
-    """All rows of the first source that has any. One pass, chosen by a scalar subquery."""
+    """All rows of the first source that has any, chosen by a scalar subquery."""
     tagged = reduce(DataFrame.unionByName, [
         df.withColumn("_priority", F.lit(i)) for i, df in enumerate(sources)
     ])
@@ -23,6 +24,83 @@ def first_available(sources: Sequence[DataFrame]) -> DataFrame:
     return tagged.where(F.col("_priority") == best).drop("_priority")
 
 
+def prefer_root(roots: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rows of several writers of one table: for every key, those of the first root that has it."""
+    tagged = reduce(DataFrame.unionByName, [
+        df.withColumn("source_root", F.lit(i)) for i, df in enumerate(roots)
+    ])
+    first = tagged.groupBy(*keys).agg(F.min("source_root").alias("_first"))
+    same = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(F.col(f"_f.{k}")) for k in keys])
+    picked = tagged.join(
+        first.alias("_f"), same & (F.col("source_root") == F.col("_f._first")), "left_semi"
+    )
+    return picked
+
+
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A parquet table under a fixed schema, or no rows where it does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """JSON lines under a fixed schema; blank and broken lines are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    paths = path if isinstance(path, str) else list(path)
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths)
+
+
+def list_files(spark: SparkSession, roots: Sequence[str], *, max_depth: int = 3) -> DataFrame:
+    """Data files (path, modified, size) below the roots, each once. Contents are not read."""
+    found = []
+    for root in dict.fromkeys(roots):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        # Folders between the root and the file; the root itself is level one.
+        below = F.regexp_replace("path", r"^.*?" + _quoted(root.rstrip("/")) + "/", "")
+        found.append(
+            files.where(F.size(F.split(below, "/")) <= max_depth).select(
+                "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")
+            )
+        )
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _quoted(text: str) -> str:
+    return r"\Q" + text.split("://")[-1] + r"\E"
+
+
+def recent_files(spark: SparkSession, roots: Sequence[str], k: int = 12, *, max_depth: int = 3) -> DataFrame:
+    """The ``k`` newest files, oldest of them first."""
+    newest = list_files(spark, roots, max_depth=max_depth).orderBy(F.desc("modified"), F.desc("path")).limit(k)
+    return newest.orderBy("modified", "path")
+
+
+def read_recent(spark: SparkSession, roots: Sequence[str], schema: T.StructType, k: int = 12) -> DataFrame:
+    """Rows of the ``k`` newest JSON-lines files; ``k`` bounds what reaches the driver."""
+    paths = [r["path"] for r in recent_files(spark, roots, k).collect()]
+    return read_jsonl(spark, paths, schema) if paths else spark.createDataFrame([], schema)
+
+
+def read_gold_window(spark: SparkSession, path: str, minutes: int) -> DataFrame:
+    """The trailing window of a stored gold table, with partition pruning.
+
+    The newest day partition gives the newest minute; the window then filters with
+    literals, so only the days it touches are listed and scanned.
+    """
+    gold = spark.read.parquet(path)
+    if minutes <= 0:
+        return gold
+    last_day = gold.agg(F.max("dt").alias("dt")).first()["dt"]
+    if last_day is None:
+        return gold
+    newest = gold.where(F.col("dt") == last_day).agg(F.max("event_timestamp").alias("m"))
+    span = newest.select(
+        (F.col("m") - F.make_dt_interval(mins=F.lit(minutes))).alias("since"),
+        F.date_format(F.col("m") - F.make_dt_interval(mins=F.lit(minutes)), "yyyyMMdd").alias("first_day"),
+    ).first()
+    return gold.where(
+        (F.col("dt") >= span["first_day"]) & (F.col("event_timestamp") >= F.lit(span["since"]))
+    )
