@@ -32,9 +32,9 @@ _PREPARED = """prepared AS (
     AND hour_of_day IS NOT NULL AND day IS NOT NULL)"""
 
 _SEGMENTS = """SELECT 'segment:' || point AS segment_id, point AS count_point_identifier,
-  arg_min(region_name, ord) AS region_name, arg_min(local_authority_name, ord) AS local_authority_name,
-  arg_min(road_name, ord) AS road_name, arg_min(road_type, ord) AS road_type,
-  arg_min(sj, ord) AS start_junction_road_name, arg_min(ej, ord) AS end_junction_road_name,
+  arg_min(region_name, row(ord, region_name)) AS region_name, arg_min(local_authority_name, row(ord, local_authority_name)) AS local_authority_name,
+  arg_min(road_name, row(ord, road_name)) AS road_name, arg_min(road_type, row(ord, road_type)) AS road_type,
+  arg_min(sj, row(ord, sj)) AS start_junction_road_name, arg_min(ej, row(ord, ej)) AS end_junction_road_name,
   round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude,
   round(avg(easting), 6) AS british_national_grid_easting, round(avg(northing), 6) AS british_national_grid_northing,
   round(avg(km), 6) AS link_length_kilometers, round(avg(miles), 6) AS link_length_miles,
@@ -79,12 +79,12 @@ _ROAD_SHARE = f"""SELECT r.region_name, r.road_id, s.weight FROM road r
   JOIN ({region_shares("road_name")}) s ON r.region_name = s.region_name AND r.road_name = s.key"""
 
 COUNT_QUERIES = {
-    "clean_counts": query(COUNTS_RAW, _CLEANED, select=f"""SELECT CAST(ord AS VARCHAR) AS record_ord, count_point_identifier,
+    "clean_counts": query(COUNTS_RAW, _CLEANED, select=f"""SELECT ord AS record_ord, count_point_identifier,
       strftime(day, '%Y-%m-%d') AS observation_date, hour_of_day, travel_direction, region_name, local_authority_name,
       road_name, road_type, start_junction_road_name, end_junction_road_name, {cols(
         ["british_national_grid_easting", "british_national_grid_northing", "latitude", "longitude",
          "link_length_kilometers", "link_length_miles", *FIELDS, "all_motor_vehicle_count"], _R6)} FROM cleaned"""),
-    "prepare_counts": query(COUNTS_RAW, _CLEANED, _PREPARED, select="""SELECT CAST(ord AS VARCHAR) AS record_ord, road_name,
+    "prepare_counts": query(COUNTS_RAW, _CLEANED, _PREPARED, select="""SELECT ord AS record_ord, road_name,
       all_motor_vehicle_count, hour, strftime(day, '%Y-%m-%d') AS observation_date, region_filled, authority_filled,
       direction_filled FROM prepared"""),
     "segment_catalogue": query(*COUNTS, select=_SEGMENTS),

@@ -156,8 +156,7 @@ COUNTS_RAW = f"""counts AS (
     l_extendedprice / 10000.0e0 AS km, l_extendedprice / 10000.0e0 / 1.60934e0 AS miles,
     {classes(FIELDS, "CASE WHEN l_linenumber + l_partkey % 5 - 1 = {i} THEN l_quantity ELSE 0.0e0 END AS {n}")},
     l_quantity AS total,
-    CAST(l_orderkey AS HUGEINT) * 10000000000000000000000::HUGEINT + l_linenumber * 100000000000000000000::HUGEINT
-      + CAST(l_partkey AS HUGEINT) * 10000000000 + l_suppkey AS ord
+    l_orderkey * 8 + l_linenumber AS ord
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 CNT = "cnt AS (SELECT *, coalesce(" + direction_name("code") + ", 'Unknown') AS direction FROM counts)"
@@ -177,9 +176,9 @@ ROAD_CTES = [
     *COUNTS,
     f"road_hour AS ({hour_profile('road_name')})",
     "road_base AS (SELECT road_name, count(*) AS observation_count, count(DISTINCT day) AS days_observed, "
-    "arg_min(road_type, ord) AS road_type, arg_min(region_name, ord) AS region_name, "
-    "arg_min(local_authority_name, ord) AS local_authority_name, arg_min(sj, ord) AS start_junction, "
-    "arg_min(ej, ord) AS end_junction, "
+    "arg_min(road_type, row(ord, road_type)) AS road_type, arg_min(region_name, row(ord, region_name)) AS region_name, "
+    "arg_min(local_authority_name, row(ord, local_authority_name)) AS local_authority_name, arg_min(sj, row(ord, sj)) AS start_junction, "
+    "arg_min(ej, row(ord, ej)) AS end_junction, "
     + ", ".join(
         f"avg({c}) AS {n}_mean, stddev_pop({c}) AS {n}_std"
         for c, n in zip(_STATS, ("latitude", "longitude", "easting", "northing", "kilometers", "miles"))

@@ -211,6 +211,8 @@ SERVING_QUERIES = {
       total_vehicles, heavy_vehicles, round(vehicles_per_km, 6) AS vehicles_per_km FROM gold
       ORDER BY event_timestamp DESC, role, region_name, local_authority_name NULLS FIRST, road_id NULLS FIRST LIMIT 100"""),
     "history_append_prune": query(*GOLD_CTES, _win(_WINDOW), select=f"SELECT role, {_PLACE}, road_id, event_timestamp, total_vehicles FROM win"),
+    "prefer_root": query(*GOLD_CTES, select=f"""SELECT role, {_PLACE}, road_id, event_timestamp, total_vehicles,
+      CAST(CASE WHEN hour(event_timestamp) < 6 THEN 0 ELSE 1 END AS INTEGER) AS source_root FROM gold"""),
     "road_ids": query(*RUN_CTES, select="SELECT DISTINCT road_id FROM run_road ORDER BY road_id"),
     "road_count": query(*RUN_CTES, select="SELECT count(DISTINCT road_id) AS road_count FROM run_road"),
     "chart_union": query(*_FLOW, select="""SELECT region_name, minute AS ts, 'observed' AS series, value FROM series

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from roadpulse.functions.text import known_text, strip
 from roadpulse.schemas import (
-    CLEAN_COUNTS, CLEAN_ESSENTIAL, CLEAN_NUMERIC, CLEAN_TEXT, DIRECTION_CODES, PROFILE_REQUIRED,
+    CLEAN_COUNTS, CLEAN_ESSENTIAL, CLEAN_TEXT, DIRECTION_CODES, PROFILE_REQUIRED,
     RAW_DROPPED, RAW_TO_CLEAN,
 )
 
@@ -38,16 +38,17 @@ def clean_counts(raw: DataFrame) -> DataFrame:
         missing["all_motor_vehicle_count"] = F.col("all_motor_vehicles")
     df = df.withColumns(missing) if missing else df
 
+    def typed(name: str, dtype: T.DataType) -> bool:
+        return df.schema[name].dataType == dtype
+
     codes = F.create_map(*[F.lit(x) for pair in DIRECTION_CODES.items() for x in pair])
     cleaned = {}
     for name in df.columns:
         c = F.col(f"`{name}`")
-        if name in CLEAN_NUMERIC:
-            cleaned[name] = strip(c.cast("string")).try_cast("double")
-        elif name == "hour_of_day":
-            cleaned[name] = strip(c.cast("string")).try_cast("int")
-        elif name == "observation_date" and not isinstance(df.schema[name].dataType, T.DateType):
-            cleaned[name] = strip(c.cast("string")).try_cast("date")
+        if name in types and name not in CLEAN_TEXT:
+            # Columns that come typed need no reading.
+            if not typed(name, types[name]):
+                cleaned[name] = strip(c.cast("string")).try_cast(types[name])
         elif name == "travel_direction":
             text = known_text(c)
             cleaned[name] = F.coalesce(F.try_element_at(codes, text), text)

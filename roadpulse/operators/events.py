@@ -20,11 +20,23 @@ _TRANSPORT = ("topic", "partition", "offset", "ingest_ts", "batch_id", "value")
 _OFFSET_BITS = 48
 
 
-def split_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """JSON text to (objects with a VARIANT column ``v``, everything else as dead letters)."""
-    parsed = raw.withColumn("v", F.try_parse_json("value"))
-    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-    return parsed.where(is_object), parsed.where(~is_object).drop("v")
+def _is_object(v: str) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def object_payloads(raw: DataFrame) -> DataFrame:
+    """Payloads that are JSON objects, parsed once into a VARIANT column ``v``.
+
+    A plain filter on the parsed value would be pushed below the projection and parse
+    every payload a second time; an explode of none or one keeps it to one.
+    """
+    parsed = raw.withColumn("_v", F.try_parse_json("value"))
+    return parsed.select(*raw.columns, F.explode(F.when(_is_object("_v"), F.array("_v"))).alias("v"))
+
+
+def dead_letters(raw: DataFrame) -> DataFrame:
+    """Payloads that are no JSON object: broken text, arrays, bare values."""
+    return raw.withColumn("_v", F.try_parse_json("value")).where(~_is_object("_v")).drop("_v")
 
 
 def variant_fields(v: str = "v") -> M.Field:
@@ -127,8 +139,7 @@ def _arrival(kept: list[str]) -> Column:
 
 def parse_events(raw: DataFrame, *, heavy_fallback: str = "zero") -> DataFrame:
     """JSON text to normalised events; payloads that are not JSON objects are left out."""
-    objects, _ = split_payloads(raw)
-    return normalise_events(objects.drop("value"), field=variant_fields(), heavy_fallback=heavy_fallback)
+    return normalise_events(object_payloads(raw).drop("value"), field=variant_fields(), heavy_fallback=heavy_fallback)
 
 
 def silver_keys(events: DataFrame) -> DataFrame:

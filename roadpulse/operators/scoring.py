@@ -35,22 +35,22 @@ def lookup_profile(requests: DataFrame, roads: DataFrame) -> DataFrame:
     )
     name_key = F.lower(strip(F.col("profile_road_name")))
     by_name = (
-        profile.where(name_key != "").groupBy(name_key.alias("name_key"))
+        profile.where(name_key != "").groupBy(name_key.alias("_name_key"))
         .agg(F.max_by(
             F.struct("profile_road_id", "profile_road_name", "baseline"),
             F.struct("profile_road_name", "profile_road_id"),
-        ).alias("n"))
+        ).alias("_named"))
     )
     wanted = requests.withColumns({
         "_id": F.nullif("road_id", F.lit("")),
         "_name": F.nullif(F.lower(strip(F.col("road_name"))), F.lit("")),
     })
     joined = wanted.join(profile, F.col("_id") == F.col("profile_road_id"), "left").join(
-        by_name, F.col("_name") == F.col("name_key"), "left"
+        by_name, F.col("_name") == F.col("_name_key"), "left"
     )
     found = F.col("profile_road_id").isNotNull()
     picked = {
-        c: F.when(found, F.col(c)).otherwise(F.col(f"n.{c}"))
+        c: F.when(found, F.col(c)).otherwise(F.col(f"_named.{c}"))
         for c in ("profile_road_name", "baseline", "profile_road_id")
     }
     return (
@@ -75,13 +75,13 @@ def predict(
         F.col("road_id").alias("profile_road_id"), "hour",
         F.col("mean_per_minute").alias("hour_mean"), F.col("std_per_minute").alias("hour_std"),
     )
-    count = directions.groupBy("road_id").agg(F.count(F.lit(1)).alias("n"))
+    count = directions.groupBy("road_id").agg(F.count(F.lit(1)).alias("_n"))
     named = directions.groupBy("road_id", F.lower("key").alias("direction_key")).agg(
         F.min_by(F.struct("key", "weight"), "key").alias("d")
     )
     direction = named.join(count, "road_id").select(
         F.col("road_id").alias("profile_road_id"), "direction_key",
-        F.col("d.key").alias("direction_name"), (F.col("d.weight") * F.col("n")).alias("multiplier"),
+        F.col("d.key").alias("direction_name"), (F.col("d.weight") * F.col("_n")).alias("multiplier"),
     )
     joined = (
         looked.withColumn("direction_key", F.lower(F.nullif("direction", F.lit(""))))

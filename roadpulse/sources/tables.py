@@ -29,12 +29,12 @@ def prefer_root(roots: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     tagged = reduce(DataFrame.unionByName, [
         df.withColumn("source_root", F.lit(i)) for i, df in enumerate(roots)
     ])
-    first = tagged.groupBy(*keys).agg(F.min("source_root").alias("_first"))
-    same = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(F.col(f"_f.{k}")) for k in keys])
-    picked = tagged.join(
-        first.alias("_f"), same & (F.col("source_root") == F.col("_f._first")), "left_semi"
+    # Null key columns are values of their own here, so they join as such.
+    firsts = tagged.groupBy(*keys).agg(F.min("source_root").alias("_first")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], "_first"
     )
-    return picked
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return tagged.join(firsts, same & (F.col("source_root") == F.col("_first")), "left_semi")
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import gold as gold_ops
-from roadpulse.operators.events import normalise_events, split_payloads, variant_fields
+from roadpulse.operators.events import dead_letters, normalise_events, object_payloads, variant_fields
 from roadpulse.schemas import GOLD, RUN_LOG
 from roadpulse.sinks import writers
 from roadpulse.sources.tables import table_or_empty
@@ -41,12 +41,12 @@ class Layout:
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     """Everything one micro-batch writes. Running it again with the same id changes nothing."""
     spark = batch.sparkSession
-    objects, dead = split_payloads(batch)
-    events = normalise_events(objects.withColumn("batch_id", F.lit(batch_id).cast("bigint")), field=variant_fields())
+    stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    events = normalise_events(object_payloads(stamped), field=variant_fields())
     # Read by five writes below; a lost executor's part is computed again from the source.
     events = events.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dead.write.mode("overwrite").parquet(f"{layout.path('dead_letters')}/batch_id={batch_id}")
+        dead_letters(batch).write.mode("overwrite").parquet(f"{layout.path('dead_letters')}/batch_id={batch_id}")
         rows = gold_ops.gold_all(events)
 
         def silver(root: str, _: bool) -> None:
