@@ -28,7 +28,11 @@ def slugify(c: Column, *, unicode: bool = False, default: str = "unknown") -> Co
     return F.coalesce(blank_to_null(slug), F.lit(default))
 
 
+# What a CSV round trip makes of nulls; "nan" in any case.
+NULL_TEXTS = ("", "None", "nan", "Nan", "nAn", "naN", "NAn", "NaN", "nAN", "NAN")
+
+
 def known_text(c: Column) -> Column:
-    """Trimmed text; blanks and the literals a CSV round trip makes of nulls become null."""
+    """Trimmed text; blanks and the literals that stand for nulls become null."""
     text = strip(c)
-    return F.when((text != "") & (F.lower(text) != "nan") & (text != "None"), text)
+    return F.when(~text.isin(*NULL_TEXTS), text)

@@ -46,9 +46,12 @@ def clean_counts(raw: DataFrame) -> DataFrame:
     for name in df.columns:
         c = F.col(f"`{name}`")
         if name in types and name not in CLEAN_TEXT:
-            # Columns that come typed need no reading.
-            if not typed(name, types[name]):
-                cleaned[name] = strip(c.cast("string")).try_cast(types[name])
+            # Columns that come typed need no reading; a cast skips the blanks around a number.
+            if name == "hour_of_day" and not typed(name, types[name]):
+                # Whole hours may come with a decimal point.
+                cleaned[name] = F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+            elif not typed(name, types[name]):
+                cleaned[name] = c.try_cast(types[name])
         elif name == "travel_direction":
             text = known_text(c)
             cleaned[name] = F.coalesce(F.try_element_at(codes, text), text)

@@ -54,13 +54,17 @@ def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
         "region_name", "local_authority_name", "road_name", "road_type",
         "start_junction_road_name", "end_junction_road_name",
     )
-    fields = {n: known_text(F.col(n)) for n in texts}
-    fields["_direction"] = known_text(F.col("travel_direction"))
+    # Cleaned in a projection of their own, so that each text is trimmed once per row.
+    described_from = counts.select(
+        "count_point_identifier", order, *[known_text(F.col(n)).alias(n) for n in texts],
+        known_text(F.col("travel_direction")).alias("_direction"),
+    )
+    fields = {n: F.col(n) for n in (*texts, "_direction")}
     directions = F.array_sort(
         F.collect_set(F.when(F.col("_field") == "_direction", F.col("_value")))
     )
     described = first_values(
-        counts, ["count_point_identifier"], fields, order, extra={"_directions": directions}
+        described_from, ["count_point_identifier"], fields, order, extra={"_directions": directions}
     )
     measured = counts.groupBy("count_point_identifier").agg(
         *[F.avg(n).alias(n) for n in LOCATION_FIELDS + LENGTH_FIELDS],

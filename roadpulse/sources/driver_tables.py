@@ -110,11 +110,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 17 == 0, F.concat(iso, F.lit("Z"))).alias("timestamp"),
     ))
     body = F.concat(F.lit('{"all_motor_vehicle_count":'), count_json, F.lit(","), F.substring(rest, 2, 1 << 20))
-    value = (
-        F.when(eid % 53 == 0, F.substring(body, 1, 40))
-        .when(eid % 59 == 0, F.concat(F.lit("["), body, F.lit("]")))
-        .otherwise(body)
-    )
+    # Every 53rd payload is cut off, every 59th is an array.
+    array = eid % 59 == 0
+    wrapped = F.concat(F.when(array, "[").otherwise(""), body, F.when(array, "]").otherwise(""))
+    value = F.substring(wrapped, F.lit(1), F.when(eid % 53 == 0, 40).otherwise(1 << 20))
     return t.select(
         "topic", "partition", "offset",
         F.date_trunc("hour", "event_timestamp").alias("ingest_ts"), value.alias("value"),

@@ -270,6 +270,17 @@ def test_prepared_counts_drop_and_default(spark):
     assert brief == [("A", 0.0, "Unknown Region", "Unknown Authority", "Unknown"), ("A", 2.0, "R", "L", "")]
 
 
+def test_raw_text_is_read_leniently(spark):
+    df = spark.createDataFrame(
+        [("  7 ", "2001-02-03 00:00:00", " 3 ", " x", "NaN", "1e2"), ("7.0", "soon", "C", "None", "  A1 ", "")],
+        "`HOUR` string, `Date` string, direction_of_travel string, region_name string, ` Road_Name ` string, lgvs string",
+    )
+    got = rows(cleaning.clean_counts(df))
+    brief = [(r["hour_of_day"], r["observation_date"], r["travel_direction"], r["region_name"], r["road_name"], r["light_goods_vehicle_count"]) for r in got]
+    assert brief == [(7, date(2001, 2, 3), "Eastbound", "x", None, 100.0), (7, None, "C", None, "A1", None)]
+    assert got[0]["all_motor_vehicle_count"] is None and got[0]["count_point_identifier"] is None
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(cleaning.MissingColumns, match="observation_date"):
         cleaning.prepare_counts(spark.createDataFrame([("a", 1, 2)], "road_name string, all_motor_vehicle_count int, hour_of_day int"))
