@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from roadpulse.session import checkpoint_dir
 
@@ -62,3 +63,8 @@ def clean_name(taken: list[str], wanted: str) -> str:
     while wanted.lower() in lower:
         wanted += "_"
     return wanted
+
+
+def with_column_type(schema: StructType, name: str, kind: str) -> StructType:
+    """``schema`` and one more column, its type given as DDL."""
+    return StructType([*schema.fields, StructField(name, StructType.fromDDL(f"c {kind}").fields[0].dataType)])

@@ -2,6 +2,53 @@
 
 from __future__ import annotations
 
+_OP3 = r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+    FROM documents),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM split),
+often AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+    SELECT k.*, o.key IS NOT NULL AND o.keeper <> k.doc_id AS gone FROM keyed k LEFT JOIN often o ON k.key = o.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+_OP5 = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+item_words AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+spots AS (
+    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS phrase
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc_words, sizes WHERE len(w) >= size)),
+found AS (SELECT s.doc_id, s.i, s.size, p.item_id FROM spots s JOIN phrases p ON s.size = p.size AND s.phrase = p.phrase),
+hit AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + size)) AS at FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.joined, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM doc_words d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+"""
+
 _OP6 = r"""
 WITH sized AS (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -58,4 +105,4 @@ FROM scored QUALIFY rank <= 5
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {"op6_hash_mix": _OP6, "op8_tput_search": _OP8}
+    return {"op3_line_dedup": _OP3, "op5_fm_decontam": _OP5, "op6_hash_mix": _OP6, "op8_tput_search": _OP8}

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import (
-    hash_mix, histogram_shards, pigeon_simhash, token_files, tput_search,
+    fm_decontam, hash_mix, histogram_shards, hyper_lang, line_dedup, pigeon_simhash, quality_bayes, token_files,
+    tput_search, zstd_toxicity,
 )
-from roadpulse.llm.common import shared_folder, table
+from roadpulse.llm.common import hashed_below, shared_folder, table
 from roadpulse.session import configure
 
 END_ID = 2
@@ -38,21 +39,54 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources, paths the languages below them: documents carry no address."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality_bayes.quality(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return scored.withColumn("held_out", hashed_below(F.col("doc_id"), 3, 1)).withColumn("predicted", F.col("keep").cast("int"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = histogram_shards.shard(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = fm_decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "contamination.n_words", "contamination.n_hit", F.size("contamination.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "contamination.items"), 256).alias("items_sha256"), "contamination.contaminated")
+
+
 def op6_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_hyper_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hyper_lang.languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", hashed_below(F.col("doc_id"), 4, 2).alias("held_out"),
+                         F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op8_tput_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = tput_search.scaled(table(spark, sf_dir, "embeddings"))
     return tput_search.search(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0), TOP)
 
 
+def op9_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = zstd_toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", hashed_below(F.col("doc_id"), 3, 1).alias("held_out"), "toxicity.score",
+                         (F.col("toxicity.score") >= zstd_toxicity.PREDICTED_FROM).cast("int").alias("predicted"))
+
+
 def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pigeon_simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -65,6 +99,6 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {q.__name__: _configured(q) for q in (
-        op1_token_files, op4_histogram_shards, op6_hash_mix,
-        op8_tput_search, op10_pigeon_simhash,
+        op1_token_files, op2_quality_bayes, op3_line_dedup, op4_histogram_shards, op5_fm_decontam, op6_hash_mix,
+        op7_hyper_lang, op8_tput_search, op9_zstd_toxicity, op10_pigeon_simhash,
     )}
