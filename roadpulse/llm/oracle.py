@@ -38,8 +38,8 @@ spots AS (
     SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS phrase
     FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc_words, sizes WHERE len(w) >= size)),
 found AS (SELECT s.doc_id, s.i, s.size, p.item_id FROM spots s JOIN phrases p ON s.size = p.size AND s.phrase = p.phrase),
-hit AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (
-    SELECT doc_id, unnest(range(i, i + size)) AS at FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
+hit AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + size)) AS spot FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
 items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
