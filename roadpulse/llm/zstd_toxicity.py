@@ -1,8 +1,9 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-Texts are coded word by word (eight bytes of a hash each), so that a dictionary match is a match
-of whole words. The ordinary dictionary holds the commonest words of ordinary training texts; the
-toxic one holds the same and, before it, the words that toxic texts use in clearly more contexts.
+Texts are coded unit by unit (a word or the stem of a longer one, as eight bytes of a hash), so
+that a dictionary match is a match of whole units. The ordinary dictionary holds the commonest units
+of ordinary training texts; the toxic one holds the same and, before it, the units that toxic texts
+use in clearly more contexts.
 A window that the toxic dictionary compresses better carries toxic wording; the gains of all
 windows of a text give its score through a calibrated logistic curve.
 """
@@ -22,11 +23,13 @@ from roadpulse.llm.common import LOWER, UPPER, clean_name, hashed_below, in_slic
 # The classifier is fitted on so many labelled documents of each class at most, chosen by a hash
 # of their ids; everything else works on all documents.
 SAMPLE_PER_CLASS = 6000
-WINDOW_WORDS = 64
+WINDOW_UNITS = 64
+STEM = 5
 LEVEL = 3
 COMMON_WORDS = 4096
 TOXIC_WORDS = 8192
-LEAST_CONTEXTS, LEAST_Z, LEAST_RATIO = 3, 4.0, 8.0
+# A unit tells toxic texts if its use there is this surprising (log-likelihood ratio) and this much more frequent.
+LEAST_SURPRISE, LEAST_RATIO = 25.0, 8.0
 PREDICTED_FROM = 0.7
 RIDGE = 0.02
 SLICE_BYTES = 8 << 20
@@ -43,9 +46,15 @@ class Model:
     weights: tuple[float, float, float]
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words of a whole text without marks, A-Z lower-cased."""
-    return (text or "").encode().translate(_PLAIN).split()
+def units(text: str | None) -> list[bytes]:
+    """Of every word of a whole text (without marks, A-Z lower-cased): the word, and its stem of
+    STEM bytes if it is longer, marked as such."""
+    found = []
+    for word in (text or "").encode().translate(_PLAIN).split():
+        found.append(word)
+        if len(word) > STEM:
+            found.append(word[:STEM] + b"-")
+    return found
 
 
 class Gains:
@@ -66,10 +75,10 @@ class Gains:
         """Largest gain of a window and the sum of all positive gains, over the whole text."""
         from xxhash import xxh3_64_digest
 
-        coded, most, total = b"".join(map(xxh3_64_digest, words(text))), 0, 0
+        coded, most, total = b"".join(map(xxh3_64_digest, units(text))), 0, 0
         ordinary, toxic = self.compress
-        for at in range(0, len(coded), 8 * WINDOW_WORDS):
-            window = coded[at : at + 8 * WINDOW_WORDS]
+        for at in range(0, len(coded), 8 * WINDOW_UNITS):
+            window = coded[at : at + 8 * WINDOW_UNITS]
             gain = len(ordinary(window)) - len(toxic(window))
             if gain > 0:
                 total += gain
@@ -104,14 +113,15 @@ def _calibrated(gains: np.ndarray, toxic: np.ndarray, share: float) -> tuple[flo
 
 
 def _contexts(sample: DataFrame) -> DataFrame:
-    """word, and in how many different (word before, word after) it stands in toxic and in ordinary texts."""
+    """word (a unit), and in how many different (unit before, unit after) it stands in toxic and in
+    ordinary texts. Copies of one passage so count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
         for part in in_slices(batches, SLICE_BYTES):
             for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist(), strict=True):
-                own = words(text)
+                own = units(text)
                 seen = {(w, xxh3_64_intdigest(b" ".join((a, b))) >> 1) for a, w, b in zip([b"", *own], own, [*own[1:], b""], strict=False)}
                 if seen:
                     yield pa.RecordBatch.from_arrays([
@@ -132,15 +142,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out) -> Model:
     order = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = usable.withColumn("place", order).where(F.col("place") <= SAMPLE_PER_CLASS).select(
         F.col("doc_id").alias("id"), "toxic", (F.col("place") % 3 == 0).alias("for_curve"))
-    share = usable.agg(F.avg("toxic")).first()[0] or 0.0
+    toxic_share = usable.agg(F.avg("toxic")).first()[0] or 0.0
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")), "toxicity-sample")
     uses = stored(_contexts(sample.where("not for_curve")), "toxicity-words")
     toxic_uses, other_uses = uses.agg(F.sum("t"), F.sum("o")).first()
     if toxic_uses and other_uses:
-        expected = (F.col("t") + F.col("o")) * F.lit(toxic_uses / (toxic_uses + other_uses))
-        z = (F.col("t") - expected) / F.sqrt(expected)
-        ratio = F.col("t") * F.lit(float(other_uses)) / ((F.col("o") + 0.5) * F.lit(float(toxic_uses)))
-        telling = uses.where((F.col("t") >= LEAST_CONTEXTS) & (z >= LEAST_Z) & (ratio >= LEAST_RATIO))
+        share = toxic_uses / (toxic_uses + other_uses)
+        t, o = F.col("t"), F.col("o")
+        surprise = 2 * (t * F.log(t / ((t + o) * share)) + F.when(o > 0, o * F.log(o / ((t + o) * (1 - share)))).otherwise(0.0))
+        ratio = t * float(other_uses) / ((o + 0.5) * float(toxic_uses))
+        telling = uses.where((t > 0) & (surprise >= LEAST_SURPRISE) & (ratio >= LEAST_RATIO))
         toxic = [r.word for r in telling.orderBy(F.desc("t"), "word").limit(TOXIC_WORDS).collect()]
     else:
         toxic = []
@@ -150,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out) -> Model:
     plain = Model(packed[0], packed[1], (0.0, 0.0, 0.0))
     rows = _gains(sample.where("for_curve").select("text", "toxic"), plain).select("toxic", "gains.most", "gains.total").collect()
     found = np.array([(r.most, r.total) for r in rows], float).reshape(-1, 2)
-    return Model(*packed, _calibrated(found, np.array([r.toxic for r in rows], float), share))
+    return Model(*packed, _calibrated(found, np.array([r.toxic for r in rows], float), toxic_share))
 
 
 def _gains(docs: DataFrame, model: Model, name: str = "gains") -> DataFrame:
