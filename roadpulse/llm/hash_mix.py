@@ -50,8 +50,9 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     )
     # Full exactly where limit * weight_left <= size_left * weight; whole numbers, so no rounding.
     full = F.col("limit").cast("decimal(38,0)") * F.col("weight_left") <= F.col("size_left").cast("decimal(38,0)") * F.col("weight")
-    factor = left.where(~full).agg(F.max(F.struct("weight_left", "size_left")).alias("first"))
-    return left.crossJoin(F.broadcast(factor)).select(  # one row on the right
+    # The first that is not full has the most weight left.
+    first = F.max(F.when(~full, F.struct("weight_left", "size_left"))).over(everything)
+    return left.withColumn("first", first).select(
         "source", "source_size",
         F.when(full | F.col("first").isNull(), F.col("limit").cast("double"))
         .otherwise(F.col("weight").cast("double") * F.col("first.size_left").cast("double") / F.col("first.weight_left").cast("double"))

@@ -157,10 +157,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Rows without an id stay, as no other row can stand for them. Repeats of the kept id go too:
     one row of each component stays."""
     found = near_duplicates(docs)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    named = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("kept"), "left_semi")
-    repeated = own_repeats(named)
-    return repeated.unionByName(docs.where("doc_id is null"))
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    # The join by name keeps the columns of ``docs``; a null id matches nothing.
+    return own_repeats(docs.join(first, "doc_id", "left_semi")).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def own_repeats(docs: DataFrame) -> DataFrame:
