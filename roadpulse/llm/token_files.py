@@ -18,8 +18,8 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,6 @@ _PARTS = "file_no int, n_docs long, n_tokens long, width int, ids_file string, o
 
 # A single space between two other characters always starts a new unit of a byte-level
 # tokenizer; next to further white space it may not.
-_SPACE_RUN = re.compile(r" \s|\s ")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters and then plain marks: letters and marks are units of their own.
 _WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?#$%&*]+)")
@@ -66,43 +65,59 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.spaced: dict[str, bytes] = {}  # ids of a piece with a space before it
         self.old: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}  # first pieces of texts, and marks
+        self.marks: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], pieces: list[str], before: str) -> None:
-        """Adds the ids of ``before`` + piece for each piece."""
+    def _ids(self, pieces: list[str], before: str = "") -> list[bytes]:
+        """The ids of ``before`` + piece for each piece."""
         encoded = self.tokenizer.encode_batch_fast([before + p for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
-        at = 0
-        for p, own in zip(pieces, ids, strict=True):
-            upto = at + len(own) * self.dtype.itemsize
-            known[p] = flat[at:upto]
-            at = upto
-
-    def _learn_spaced(self, pieces: set[str]) -> None:
-        kept = pieces & self.old.keys()
-        self.spaced.update((p, self.old[p]) for p in kept)
-        pieces -= kept
-        split = {p: m.groups() for p in pieces if (m := _WORD_AND_MARKS.fullmatch(p))}
-        words = {w for w, _ in split.values()} | (pieces - split.keys())
-        self._learn(self.spaced, [w for w in words if w not in self.spaced], " ")
-        self._learn(self.bare, [m for m in {m for _, m in split.values()} if m not in self.bare], "")
-        self.spaced.update((p, self.spaced[word] + self.bare[marks]) for p, (word, marks) in split.items())
+        return [array(self.dtype.char, e.ids).tobytes() for e in encoded]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Adds pieces that neither start nor end in white space and follow a space."""
+        new, split = [], []
+        for p in pieces:
+            if (ids := self.old.get(p)) is not None:
+                self.spaced[p] = ids
+            elif m := _WORD_AND_MARKS.fullmatch(p):
+                split.append((p, *m.groups()))
+            else:
+                new.append(p)
+        words = {word for _, word, _ in split} - pieces
+        new += [w for w in words if w not in self.spaced]
+        self.spaced.update(zip(new, self._ids(new, " "), strict=True))
+        marks = list({m for _, _, m in split} - self.marks.keys())
+        self.marks.update(zip(marks, self._ids(marks), strict=True))
+        self.spaced.update((p, self.spaced[word] + self.marks[m]) for p, word, m in split)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``dtype``."""
         if len(self.spaced) > REMEMBERED:
             self.old, self.spaced = self.spaced, {}
-        if len(self.bare) > REMEMBERED:
-            self.bare.clear()
-        pieces = [_LONE_SPACE.split(t) if _SPACE_RUN.search(t) else t.split(" ") for t in texts]
+        if len(self.marks) > REMEMBERED:
+            self.marks.clear()
+        pieces = [t.split(" ") for t in texts]
         firsts = [p.pop(0) for p in pieces]
-        self._learn(self.bare, [p for p in set(firsts) if p not in self.bare], "")
-        missing = set().union(*pieces) - self.spaced.keys()
-        if missing:
-            self._learn_spaced(missing)
-        known = self.spaced.__getitem__
-        return [self.bare[first] + b"".join(map(known, rest)) for first, rest in zip(firsts, pieces, strict=True)]
+        found = [list(map(self.spaced.get, p)) for p in pieces]
+        holes = [[n for n, ids in enumerate(f) if ids is None] for f in found]
+        missing = {p[n] for p, own in zip(pieces, holes, strict=True) for n in own}
+        # Such pieces are never remembered, so texts with runs of white space always show here.
+        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        self._learn(missing - odd)
+        begun, out = self._ids(firsts), []
+        for text, first, own, gaps, ids in zip(texts, begun, pieces, holes, found, strict=True):
+            if odd and any(own[n] in odd for n in gaps):
+                out.append(b"".join(self._ids(_split_at_lone_spaces(text))))
+                continue
+            for n in gaps:
+                ids[n] = self.spaced[own[n]]
+            out.append(first + b"".join(ids))
+        return out
+
+
+def _split_at_lone_spaces(text: str) -> list[str]:
+    """The text in parts of which each but the first starts with a lone space."""
+    first, *rest = _LONE_SPACE.split(text)
+    return [first, *[" " + p for p in rest]]
 
 
 def _encoder(path: str) -> PieceEncoder:
