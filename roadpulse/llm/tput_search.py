@@ -21,7 +21,7 @@ from roadpulse.llm.common import stored
 
 LISTS = 2
 QUERIES_PER_BLOCK = 2048  # a block's vectors and cutoffs are broadcast: at most so many rows
-CELLS = 4 << 20  # scores that a task holds at a time
+CELLS = 1 << 20  # scores that a task holds at a time
 SCALE = 256
 _RESULT = "query_id long, vec_id long, score long"
 
