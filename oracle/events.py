@@ -63,7 +63,7 @@ _FOREIGN = f"""SELECT role, region_name, local_authority_name, road_id,
 FROM gold"""
 
 _CLASS_ROWS = " UNION ALL ".join(
-    f"SELECT region_name, local_authority_name, event_timestamp, '{k}' AS vehicle_class, {g} AS count FROM gold_authority"
+    f"SELECT role, region_name, local_authority_name, road_id, event_timestamp, '{k}' AS vehicle_class, {g} AS count FROM gold"
     for k, g in zip(KEYS, GOLD)
 )
 
@@ -99,7 +99,7 @@ EVENT_QUERIES = {
       FROM (SELECT region_name, local_authority_name, road_key, minute, {FIRST_KNOWN}
       FROM ev GROUP BY region_name, local_authority_name, road_key, minute)"""),
     "normalise_gold": query(*GOLD_CTES, select=_FOREIGN),
-    "vehicle_mix_totals": query(*GOLD_CTES, select=_long_totals("gold", "")),
+    "vehicle_mix_totals": query(*GOLD_CTES, select=_long_totals("gold_primary", "")),
     "minute_totals": query(*RUN_CTES, select="SELECT road_id, minute, total FROM mt"),
     "welford_single_batch": query(*RUN_CTES, select="SELECT road_id, hour, count, round(mean, 6) AS mean, round(m2, 6) AS m2 FROM stats"),
     # The merged state over batches equals one pass over all their observations.
@@ -114,7 +114,17 @@ EVENT_QUERIES = {
     "direction_counts": query(*EVENTS, select="""SELECT road_id, direction,
       CAST(sum(greatest(CAST(round_even(vehicle_count, 0) AS BIGINT), 1)) AS BIGINT) AS count
       FROM ev WHERE road_id <> '' AND direction IS NOT NULL GROUP BY road_id, direction"""),
-    "merge_metadata": query(*RUN_CTES, select="SELECT * FROM meta"),
+    # The first value that is not empty over the batches; every second batch knows no road type.
+    "merge_metadata": query(
+        *EVENTS,
+        "per_batch AS (SELECT road_id, batch_id, arg_min(coalesce(given_name, road_id), eid) AS road_name, "
+        "arg_min(region_name, eid) AS region_name, arg_min(local_authority_name, eid) AS local_authority_name, "
+        "CASE WHEN batch_id % 2 = 1 THEN arg_min(road_type, eid) ELSE '' END AS road_type "
+        "FROM ev WHERE road_id <> '' GROUP BY road_id, batch_id)",
+        select="""SELECT road_id, arg_min(road_name, batch_id) AS road_name, arg_min(region_name, batch_id) AS region_name, '' AS region_id,
+      arg_min(local_authority_name, batch_id) AS local_authority_name,
+      coalesce(arg_min(road_type, batch_id) FILTER (WHERE road_type <> ''), '') AS road_type FROM per_batch GROUP BY road_id""",
+    ),
     "runtime_road_profile": query(*RUN_CTES, select="""SELECT road_id, road_name, region_name, region_id, local_authority_name,
       road_type, round(baseline_rate_per_minute, 6) AS baseline_rate_per_minute, observation_count FROM run_road"""),
     "runtime_hours": query(*RUN_CTES, select="""SELECT road_id, hour, round(mean, 6) AS mean_per_minute,

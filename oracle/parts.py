@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-# The eleven vehicle classes as event field, gold column and profile key.
-FIELDS = """pedal_cycle_count two_wheeled_motor_vehicle_count car_and_taxi_count bus_and_coach_count
-light_goods_vehicle_count heavy_goods_vehicle_2_rigid_axles_count heavy_goods_vehicle_3_rigid_axles_count
-heavy_goods_vehicle_4_plus_rigid_axles_count heavy_goods_vehicle_3_or_4_articulated_axles_count
-heavy_goods_vehicle_5_articulated_axles_count heavy_goods_vehicle_6_articulated_axles_count""".split()
-GOLD = """pedal_cycles two_wheeled_motor_vehicles cars_and_taxis buses_and_coaches light_goods_vehicles
-hgv_2_rigid_axles hgv_3_rigid_axles hgv_4_plus_rigid_axles hgv_3_or_4_articulated_axles
-hgv_5_articulated_axles hgv_6_articulated_axles""".split()
-KEYS = [f.removesuffix("_count") for f in FIELDS]
+# The eleven vehicle classes as (event field, gold column, profile key).
+CLASSES = (
+    ("pedal_cycle_count", "pedal_cycles", "pedal_cycle"),
+    ("two_wheeled_motor_vehicle_count", "two_wheeled_motor_vehicles", "two_wheeled_motor_vehicle"),
+    ("car_and_taxi_count", "cars_and_taxis", "car_and_taxi"),
+    ("bus_and_coach_count", "buses_and_coaches", "bus_and_coach"),
+    ("light_goods_vehicle_count", "light_goods_vehicles", "light_goods_vehicle"),
+    ("heavy_goods_vehicle_2_rigid_axles_count", "hgv_2_rigid_axles", "heavy_goods_vehicle_2_rigid_axles"),
+    ("heavy_goods_vehicle_3_rigid_axles_count", "hgv_3_rigid_axles", "heavy_goods_vehicle_3_rigid_axles"),
+    ("heavy_goods_vehicle_4_plus_rigid_axles_count", "hgv_4_plus_rigid_axles", "heavy_goods_vehicle_4_plus_rigid_axles"),
+    ("heavy_goods_vehicle_3_or_4_articulated_axles_count", "hgv_3_or_4_articulated_axles", "heavy_goods_vehicle_3_or_4_articulated_axles"),
+    ("heavy_goods_vehicle_5_articulated_axles_count", "hgv_5_articulated_axles", "heavy_goods_vehicle_5_articulated_axles"),
+    ("heavy_goods_vehicle_6_articulated_axles_count", "hgv_6_articulated_axles", "heavy_goods_vehicle_6_articulated_axles"),
+)
+FIELDS = [c[0] for c in CLASSES]
+GOLD = [c[1] for c in CLASSES]
+KEYS = [c[2] for c in CLASSES]
 
 
 def cols(names, fmt="{}", sep=", "):
@@ -149,7 +157,8 @@ COUNTS_RAW = f"""counts AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS point, CAST(l_shipdate AS DATE) AS day,
     CAST(7 + l_orderkey % 12 AS INTEGER) AS hour,
     CASE WHEN l_partkey % 29 <> 0 THEN CAST(1 + l_linenumber % 8 AS VARCHAR) END AS code,
-    r_name AS region_name, n_name AS local_authority_name, 'A' || (l_partkey % 50) AS road_name,
+    r_name AS region_name, n_name AS local_authority_name,
+    CASE WHEN l_partkey % 50 = 7 THEN CASE WHEN l_linenumber % 2 = 0 THEN 'A 7' ELSE 'A-7' END ELSE 'A' || (l_partkey % 50) END AS road_name,
     CASE WHEN p_size > 25 THEN 'Major' ELSE 'Minor' END AS road_type, p_brand AS sj, p_type AS ej,
     50 + l_suppkey / 20.0e0 AS latitude, -(l_suppkey / 50.0e0) AS longitude,
     CAST(400000 + l_suppkey * 100 AS DOUBLE) AS easting, CAST(200000 + l_suppkey * 50 AS DOUBLE) AS northing,
@@ -184,9 +193,10 @@ ROAD_CTES = [
         for c, n in zip(_STATS, ("latitude", "longitude", "easting", "northing", "kilometers", "miles"))
     )
     + " FROM cnt GROUP BY road_name)",
-    "road AS (SELECT 'road:' || lower(road_name) AS road_id, b.*, h.base AS baseline_rate_per_minute "
+    "road_named AS (SELECT 'road:' || replace(lower(road_name), ' ', '-') AS road_id, b.*, h.base AS baseline_rate_per_minute "
     "FROM road_base b JOIN (SELECT road_name, avg(mean_per_minute) AS base FROM road_hour GROUP BY road_name) h "
     "USING (road_name) WHERE observation_count >= 50)",
+    "road AS (SELECT * FROM road_named QUALIFY row_number() OVER (PARTITION BY road_id ORDER BY road_name DESC) = 1)",
 ]
 REGION_CTES = [
     *ROAD_CTES,

@@ -173,7 +173,7 @@ SERVING_QUERIES = {
       greatest(min(minute), max(minute) - INTERVAL 1439 MINUTE), max(minute), INTERVAL 1 MINUTE)) AS minute FROM m) LEFT JOIN m USING (minute)""",
     ),
     "density_series": query(*WINDOW, select="""SELECT event_timestamp AS minute, region_name, round(avg(vehicles_per_km), 6) AS vehicles_per_km
-      FROM prim GROUP BY event_timestamp, region_name ORDER BY event_timestamp DESC, region_name DESC LIMIT 240"""),
+      FROM prim GROUP BY event_timestamp, region_name ORDER BY event_timestamp DESC, region_name DESC"""),
     "vehicle_share": query(*WINDOW, select=_long_totals("prim", "", _SHARES)),
     "region_breakdown": query(*WINDOW, select=_long_totals("prim", "region_name")),
     "authority_breakdown": query(*WINDOW, "auth AS (SELECT * FROM win WHERE role = 'authority')", select=_long_totals("auth", _PLACE)),
@@ -205,14 +205,18 @@ SERVING_QUERIES = {
     ),
     "batch_increment": query(*EVENTS, *gold_ctes(batch=True), select="""SELECT batch_id, CAST(sum(total_vehicles) AS BIGINT) AS vehicles_new,
       round(sum(total_vehicles) / count(DISTINCT region_name), 6) AS vehicles_avg_region FROM gold WHERE role <> 'authority'
-      GROUP BY batch_id HAVING sum(total_vehicles) > 0 ORDER BY batch_id DESC LIMIT 500"""),
+      GROUP BY batch_id HAVING sum(total_vehicles) > 0 ORDER BY batch_id DESC"""),
     "recent_records": query(*GOLD_CTES, select="""SELECT event_timestamp, region_name, local_authority_name, road_name, road_type,
       round(total_link_length_km, 6) AS total_link_length_km, round(coalesce(link_length_kilometers, 0), 6) AS link_length_kilometers,
       total_vehicles, heavy_vehicles, round(vehicles_per_km, 6) AS vehicles_per_km FROM gold
-      ORDER BY event_timestamp DESC, role, region_name, local_authority_name NULLS FIRST, road_id NULLS FIRST LIMIT 100"""),
+      ORDER BY event_timestamp DESC, role, region_name, local_authority_name NULLS FIRST, road_id NULLS FIRST"""),
     "history_append_prune": query(*GOLD_CTES, _win(_WINDOW), select=f"SELECT role, {_PLACE}, road_id, event_timestamp, total_vehicles FROM win"),
     "prefer_root": query(*GOLD_CTES, select=f"""SELECT role, {_PLACE}, road_id, event_timestamp, total_vehicles,
       CAST(CASE WHEN hour(event_timestamp) < 6 THEN 0 ELSE 1 END AS INTEGER) AS source_root FROM gold"""),
+    # Every batch of both roots once: all partial rows.
+    "failover_union": query(*EVENTS, *gold_ctes(batch=True), select=f"SELECT role, {_PLACE}, road_id, event_timestamp, batch_id, total_vehicles FROM gold"),
+    "validated_mix": query(*ROAD_CTES, _DIRECTION, select="""SELECT road_id, key, round(w, 6) AS weight FROM dir JOIN road USING (road_name)
+      WHERE road_id NOT LIKE '%3' UNION ALL SELECT road_id, 'Unknown', 1.0e0 FROM road WHERE road_id LIKE '%3'"""),
     "road_ids": query(*RUN_CTES, select="SELECT DISTINCT road_id FROM run_road ORDER BY road_id"),
     "road_count": query(*RUN_CTES, select="SELECT count(DISTINCT road_id) AS road_count FROM run_road"),
     "chart_union": query(*_FLOW, select="""SELECT region_name, minute AS ts, 'observed' AS series, value FROM series

@@ -17,22 +17,20 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Mapping[str, Column], ke
 
 def first_values(
     df: DataFrame, by: Sequence[str], fields: Mapping[str, Column], order: str,
-    *, extra: Mapping[str, Column] | None = None,
+    *, measures: Mapping[str, Column] | None = None, extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Per group and field, the first non-null text in ``order``.
+    """Per group and field, the first non-null text in ``order``; equal positions go by the text.
 
-    The distinct (group, field, text) triples are found first, with a fixed-width
-    minimum of ``order``: a hash aggregate whose map side shrinks even a group that
-    holds most rows to its distinct texts. Only those are sorted for the pick.
-    ``extra`` adds aggregates over the triples (columns ``_field``, ``_value``).
+    The distinct sets of texts of a group are found first, with a fixed-width minimum of
+    ``order``: a hash aggregate without an explode, whose map side shrinks even a group that
+    holds most rows. Only those sets are sorted for the picks. ``measures`` (fixed-width partial
+    aggregates by name) ride in the same pass; ``extra`` are aggregates over the sets, which may
+    use the fields and the measures.
     """
-    long = unpivot(df, [*by, order], fields, "_field", "_value").where(F.col("_value").isNotNull())
-    seen = long.groupBy(*by, "_field", "_value").agg(F.min(order).alias("_first"))
-    position = F.struct("_first", "_value")
-    return seen.groupBy(*by).agg(
-        *[F.min_by("_value", F.when(F.col("_field") == n, position)).alias(n) for n in fields],
-        *[c.alias(n) for n, c in (extra or {}).items()],
-    )
+    sets = df.groupBy(*by, *[c.alias(n) for n, c in fields.items()]).agg(
+        F.min(order).alias("_first"), *[c.alias(n) for n, c in (measures or {}).items()])
+    pick = lambda n: F.min_by(n, F.when(F.col(n).isNotNull(), F.struct("_first", n))).alias(n)
+    return sets.groupBy(*by).agg(*[pick(n) for n in fields], *[c.alias(n) for n, c in (extra or {}).items()])
 
 
 def shares(df: DataFrame, by: Sequence[str], weight: str, share: str = "weight") -> DataFrame:

@@ -7,6 +7,7 @@ group in one job: pass ``by``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,11 @@ from roadpulse.schemas import CLASS_FIELDS
 LIVE_MINUTES = 15
 HISTORY_MINUTES = 1440
 TS = "event_timestamp"
-# The class columns of the share view.
-SHARE_FIELDS = CLASS_FIELDS[:5] + ("all_heavy_goods_vehicle_count",)
+# The class columns of the share view, and the columns of the recent view.
+SHARE_FIELDS = (
+    "pedal_cycle_count", "two_wheeled_motor_vehicle_count", "car_and_taxi_count", "bus_and_coach_count",
+    "light_goods_vehicle_count", "all_heavy_goods_vehicle_count",
+)
 RECENT_COLUMNS = (
     "event_timestamp", "region_name", "local_authority_name", "road_name", "road_type",
     "total_link_length_km", "link_length_kilometers", "total_vehicles", "heavy_vehicles", "vehicles_per_km",
@@ -98,15 +102,24 @@ def minute_series(
     """
     picked = records.where((F.col("role") != "authority") if rows is None else rows)
     picked = picked.where(F.col(TS).isNotNull())
+    start = None
+    if minutes > 0 and not by:
+        # Older rows never reach the aggregate.
+        newest = minute_bucket(F.max(TS)) - F.make_dt_interval(mins=F.lit(minutes - 1))
+        start = picked.agg(F.greatest(minute_bucket(F.min(TS)), newest).alias("m")).scalar()
+        picked = picked.where(F.col(TS) >= start)
     observed = picked.groupBy(*by, minute_bucket(F.col(TS)).alias("minute")).agg(
         F.sum("total_vehicles").cast("double").alias("value")
     )
-    return fill_minutes(observed, by, minutes=minutes)
+    return fill_minutes(observed, by, minutes=minutes, start=start)
 
 
-def fill_minutes(observed: DataFrame, by: Sequence[str] = (), *, minutes: int = 0) -> DataFrame:
-    """A calendar of whole days first, minutes second: no single array spans the range."""
-    first = F.min("minute")
+def fill_minutes(
+    observed: DataFrame, by: Sequence[str] = (), *, minutes: int = 0, start: Column | None = None
+) -> DataFrame:
+    """A calendar of whole days first, minutes second: no single array spans the range. ``start``
+    is its first minute where that is known to lie before the first observed one."""
+    first = F.min("minute") if start is None else F.least(F.min("minute"), start)
     if minutes > 0:
         first = F.greatest(first, F.max("minute") - F.make_dt_interval(mins=F.lit(minutes - 1)))
     bounds = observed.groupBy(*by).agg(first.alias("_lo"), F.max("minute").alias("_hi"))
@@ -127,13 +140,13 @@ def fill_minutes(observed: DataFrame, by: Sequence[str] = (), *, minutes: int =
     )
 
 
-def density_series(records: DataFrame, *, limit: int = 240) -> DataFrame:
-    """Mean density per minute and region, the last ``limit`` rows."""
-    rows = records.where(F.col(TS).isNotNull() & F.col("region_name").isNotNull())
+def density_series(records: DataFrame, *, minutes: int = 0) -> DataFrame:
+    """Mean density per minute and region, newest first; ``minutes`` keeps the newest ones."""
+    rows = trailing_window(records.where(F.col(TS).isNotNull() & F.col("region_name").isNotNull()), minutes)
     return (
         rows.groupBy(minute_bucket(F.col(TS)).alias("minute"), "region_name")
         .agg(F.avg("vehicles_per_km").alias("vehicles_per_km"))
-        .orderBy(F.desc("minute"), F.desc("region_name")).limit(limit)
+        .orderBy(F.desc("minute"), F.desc("region_name"))
     )
 
 
@@ -210,12 +223,17 @@ def busiest_road(records: DataFrame, known: DataFrame, *, minutes: int = LIVE_MI
 def latest_per_road(records: DataFrame, by: Sequence[str] = ("region_name", "local_authority_name")) -> DataFrame:
     """The newest row of every road; rows without an id form one group, nameless rows go.
 
-    An aggregate, not a window: every task sends at most one row per road.
+    The newest time per road is a hash aggregate of one narrow column; only the rows of that
+    time are compared as a whole. Of those the most vehicles win, then the columns in order.
     """
     rows = records.where(F.col("role") == "road")
-    keep = [c for c in rows.columns if c not in (*by, "road_id")]
-    latest = rows.groupBy(*by, "road_id").agg(F.max_by(F.struct(*keep), F.struct(TS, "total_vehicles")).alias("r"))
-    return latest.select(*by, "road_id", "r.*").where(F.col("road_name").isNotNull())
+    keys = [*by, "road_id"]
+    newest = rows.groupBy(*keys).agg(F.max(TS).alias("_newest")).select(*[F.col(k).alias(f"_{k}") for k in keys], "_newest")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    last = rows.join(newest, same & F.col(TS).eqNullSafe(F.col("_newest")), "left_semi")
+    rest = [c for c in rows.columns if c not in (*keys, "total_vehicles")]
+    picked = last.groupBy(*keys).agg(F.max(F.struct("total_vehicles", *rest)).alias("r"))
+    return picked.select(*keys, "r.*").where(F.col("road_name").isNotNull())
 
 
 def road_edges(latest: DataFrame, by: Sequence[str] = ("region_name", "local_authority_name")) -> DataFrame:
@@ -258,24 +276,28 @@ def load_ratio(latest: DataFrame, by: Sequence[str] = ("region_name", "local_aut
     )
 
 
-def batch_increment(records: DataFrame, batch: str = "batch_id", *, keep: int = 500) -> DataFrame:
-    """New vehicles per batch and per region in it; the newest ``keep`` batches with any."""
+def batch_increment(records: DataFrame, batch: str = "batch_id", *, keep: int | None = None) -> DataFrame:
+    """New vehicles per batch and per region in it, newest first, for batches with any; only the
+    newest ``keep`` if given."""
     per_region = records.where(F.col("role") != "authority").groupBy(batch, "region_name").agg(
         F.sum("total_vehicles").alias("v")
     )
     per_batch = per_region.groupBy(batch).agg(
         F.sum("v").alias("vehicles_new"), F.count("region_name").alias("_regions")
     )
-    return per_batch.where(F.col("vehicles_new") > 0).orderBy(F.desc(batch)).limit(keep).select(
+    ordered = per_batch.where(F.col("vehicles_new") > 0).orderBy(F.desc(batch))
+    return (ordered if keep is None else ordered.limit(keep)).select(
         batch, "vehicles_new",
         F.when(F.col("_regions") > 0, F.col("vehicles_new") / F.col("_regions")).alias("vehicles_avg_region"),
     )
 
 
-def recent_records(records: DataFrame, limit: int = 100) -> DataFrame:
+def recent_records(records: DataFrame, limit: int | None = None) -> DataFrame:
+    """Records newest first; only the first ``limit`` if given."""
     shown = [c for c in RECENT_COLUMNS if c in records.columns]
     ties = [c for c in ("role", "region_name", "local_authority_name", "road_id") if c in records.columns]
-    return records.orderBy(F.desc(TS), *ties).limit(limit).select(*shown)
+    ordered = records.orderBy(F.desc(TS), *ties)
+    return (ordered if limit is None else ordered.limit(limit)).select(*shown)
 
 
 def history_append_prune(history: DataFrame, new: DataFrame, *, minutes: int = HISTORY_MINUTES) -> DataFrame:

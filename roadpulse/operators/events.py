@@ -24,6 +24,12 @@ def _is_object(v: str) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def parsed_payloads(raw: DataFrame) -> DataFrame:
+    """Every payload parsed once: VARIANT column ``v`` and whether it is a JSON object (``is_object``).
+    Kept (persisted) by a job that needs both the objects and the dead letters."""
+    return raw.withColumn("v", F.try_parse_json("value")).withColumn("is_object", _is_object("v"))
+
+
 def object_payloads(raw: DataFrame) -> DataFrame:
     """Payloads that are JSON objects, parsed once into a VARIANT column ``v``.
 
@@ -39,8 +45,24 @@ def dead_letters(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_v", F.try_parse_json("value")).where(~_is_object("_v")).drop("_v")
 
 
-def variant_fields(v: str = "v") -> M.Field:
-    return lambda name, dtype: F.try_variant_get(F.col(v), f"$.{name}", dtype)
+class VariantFields:
+    """Fields of a VARIANT column. Each field that is asked for is looked up in the object once, in
+    a projection of its own (``extracted``); every type it is wanted in is cast from there."""
+
+    def __init__(self, v: str = "v"):
+        self.v, self.names = v, {}
+
+    def __call__(self, name: str, dtype: str) -> Column:
+        self.names[name] = f"_field_{name}"
+        return F.try_variant_get(F.col(self.names[name]), "$", dtype)
+
+    def extracted(self, events: DataFrame, kept: list[str]) -> DataFrame:
+        return events.select(*kept, *[
+            F.try_variant_get(F.col(self.v), f"$.{name}", "variant").alias(column) for name, column in self.names.items()])
+
+
+def variant_fields(v: str = "v") -> VariantFields:
+    return VariantFields(v)
 
 
 def column_fields(df: DataFrame) -> M.Field:
@@ -76,7 +98,7 @@ def normalise_events(
 
     road_name = strip(F.coalesce(first_text(text("road_name")), F.lit(UNKNOWN_ROAD)))
     kept = [c for c in _TRANSPORT if c in events.columns]
-    base = events.select(
+    columns = [
         *kept,
         text("event_id").alias("event_id"),
         F.coalesce(first_text(text("region_name")), F.lit(UNKNOWN)).alias("region_name"),
@@ -101,7 +123,8 @@ def normalise_events(
         _meta(text, "region_id").alias("meta_region_id"),
         _meta(text, "local_authority_name", F.lit(UNKNOWN)).alias("meta_local_authority_name"),
         _meta(text, "road_type").alias("meta_road_type"),
-    )
+    ]
+    base = (field.extracted(events, kept) if isinstance(field, VariantFields) else events).select(*columns)
     start = F.coalesce("_start", F.concat("road_name", F.lit(" (inicio)")))
     end = F.coalesce("_end", F.concat("road_name", F.lit(" (fin)")))
     key = F.concat("road_name", F.lit(":"), "start_junction", F.lit("->"), "end_junction")
@@ -133,8 +156,11 @@ def _meta(text, name: str, default: Column | None = None) -> Column:
 def _arrival(kept: list[str]) -> Column:
     if "offset" not in kept:
         return F.lit(None).cast("bigint")
-    partition = F.col("partition") if "partition" in kept else F.lit(0)
-    return F.shiftleft(partition.cast("bigint"), _OFFSET_BITS) + F.col("offset")
+    partition = (F.col("partition") if "partition" in kept else F.lit(0)).cast("bigint")
+    fits = partition.between(0, (1 << 63 - _OFFSET_BITS) - 1) & F.col("offset").between(0, (1 << _OFFSET_BITS) - 1)
+    number = F.shiftleft(partition, _OFFSET_BITS) + F.col("offset")
+    wrong = F.raise_error(F.concat(F.lit("no arrival number for partition "), partition, F.lit(", offset "), F.col("offset")))
+    return F.when(fits | F.col("offset").isNull() | partition.isNull(), number).otherwise(wrong.cast("bigint"))
 
 
 def parse_events(raw: DataFrame, *, heavy_fallback: str = "zero") -> DataFrame:

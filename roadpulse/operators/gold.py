@@ -154,11 +154,12 @@ def first_known_descriptor(events: DataFrame) -> DataFrame:
 def gold_all(events: DataFrame, *, batch: Sequence[str] = ()) -> DataFrame:
     """Region, authority and road rows in one pass over the events.
 
-    Two shuffles in all: the map-side-combined partials, then one exchange on
-    (region, minute) that serves every later grouping, whose keys all contain it.
+    Three shuffles, each of far fewer rows: the map-side-combined partials; those by (region,
+    road, minute), which serves all groupings that still hold the road and spreads one region
+    and minute over all tasks; and the region and authority sums, combined before they move.
     """
     roads = _roads(
-        _road_partials(events, batch).repartition("region_name", "minute"), batch
+        _road_partials(events, batch).repartition("region_name", "road_key", "minute"), batch
     )
     role = F.col("role")
     leveled = roads.withColumn(

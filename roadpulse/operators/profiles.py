@@ -55,25 +55,28 @@ def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
         "start_junction_road_name", "end_junction_road_name",
     )
     # Cleaned in a projection of their own, so that each text is trimmed once per row.
-    described_from = counts.select(
+    numbers = LOCATION_FIELDS + LENGTH_FIELDS
+    cleaned = counts.select(
         "count_point_identifier", order, *[known_text(F.col(n)).alias(n) for n in texts],
-        known_text(F.col("travel_direction")).alias("_direction"),
-    )
-    fields = {n: F.col(n) for n in (*texts, "_direction")}
-    directions = F.array_sort(
-        F.collect_set(F.when(F.col("_field") == "_direction", F.col("_value")))
+        known_text(F.col("travel_direction")).alias("_direction"), *numbers, "observation_date", TOTAL,
     )
+    # One pass: texts and measures meet in one aggregate.
     described = first_values(
-        described_from, ["count_point_identifier"], fields, order, extra={"_directions": directions}
-    )
-    measured = counts.groupBy("count_point_identifier").agg(
-        *[F.avg(n).alias(n) for n in LOCATION_FIELDS + LENGTH_FIELDS],
-        F.date_format(F.min("observation_date"), "yyyy-MM-dd").alias("observation_start_date"),
-        F.date_format(F.max("observation_date"), "yyyy-MM-dd").alias("observation_end_date"),
-        F.count(F.lit(1)).alias("total_observations"),
-        F.sum(TOTAL).alias("all_motor_vehicle_total"),
-    )
-    return measured.join(described, "count_point_identifier", "left").select(
+        cleaned, ["count_point_identifier"], {n: F.col(n) for n in (*texts, "_direction")}, order,
+        measures={
+            **{f"{n}_sum": F.sum(n) for n in numbers}, **{f"{n}_count": F.count(n) for n in numbers},
+            "_from": F.min("observation_date"), "_to": F.max("observation_date"),
+            "_rows": F.count(F.lit(1)), "_total": F.sum(TOTAL),
+        },
+        extra={
+            "_directions": F.array_sort(F.collect_set("_direction")),
+            **{f"_{n}": F.sum(f"{n}_sum") / F.nullif(F.sum(f"{n}_count"), F.lit(0)) for n in numbers},
+            "observation_start_date": F.date_format(F.min("_from"), "yyyy-MM-dd"),
+            "observation_end_date": F.date_format(F.max("_to"), "yyyy-MM-dd"),
+            "total_observations": F.sum("_rows"), "all_motor_vehicle_total": F.sum("_total"),
+        },
+    ).withColumnsRenamed({f"_{n}": n for n in numbers})
+    return described.select(
         F.concat(F.lit("segment:"), "count_point_identifier").alias("segment_id"),
         "count_point_identifier",
         *texts,
@@ -161,11 +164,15 @@ def road_vehicle_mix(counts: DataFrame) -> DataFrame:
 
 
 def road_profile(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS, order: str = ORDER) -> DataFrame:
-    """One row per road with enough rows, hours and a vehicle mix.
+    """One row per road id of the roads with enough rows, hours and a vehicle mix (the others are
+    left out; ``min_observations=1`` keeps every road that has a mix). Of two names that share an
+    id the later one wins; the road index lists both."""
+    return one_per_id(profiled_roads(counts, min_observations=min_observations, order=order))
 
-    Every input is an aggregate by road name, so the joins reuse one partitioning. Two
-    names with one slug share an id; the later name wins.
-    """
+
+def profiled_roads(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS, order: str = ORDER) -> DataFrame:
+    """One row per road name. Every input is an aggregate by road name, so the joins reuse one
+    partitioning."""
     classes = [F.coalesce(s, F.lit(0.0)) for s, _, _ in VEHICLE_CLASSES if s in counts.columns]
     all_classes = F.sum(reduce(add, classes, F.lit(0.0))).alias("all_classes")
     base = road_base_stats(counts, order, extra=[all_classes]).where(
@@ -182,7 +189,11 @@ def road_profile(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS,
         "local_authority_name", "road_type", "start_junction", "end_junction", *stats,
         "baseline_rate_per_minute", "observation_count", "days_observed",
     )
-    return _last_by_id(row, "road_id", "road_name")
+    return row
+
+
+def one_per_id(named: DataFrame) -> DataFrame:
+    return _last_by_id(named, "road_id", "road_name")
 
 
 def _last_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -190,8 +201,9 @@ def _last_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("r")).select(key, "r.*")
 
 
-def road_index(roads: DataFrame) -> DataFrame:
-    return roads.select(
+def road_index(named: DataFrame) -> DataFrame:
+    """Every profiled road name (``profiled_roads``), also where two share an id."""
+    return named.select(
         F.col("road_id").alias("id"), "road_name", "region_name", "local_authority_name",
         "baseline_rate_per_minute",
     )
@@ -245,19 +257,17 @@ def region_road_share(counts: DataFrame, roads: DataFrame) -> DataFrame:
     up to one. A region none of whose roads match falls back to baseline shares.
     """
     assigned = assigned_region(roads).select("road_id", "road_name", "region_name", "baseline_rate_per_minute")
-    traffic = _region_shares(counts, "road_name").select(
-        F.col("region_filled").alias("region_name"), F.col("key").alias("road_name"), "weight"
-    )
+    # One row per region and road from here on; the windows run over those, not over counts.
+    region = W.partitionBy("region_name")
+    sums = counts.groupBy(F.col("region_filled").alias("region_name"), "road_name").agg(F.sum(TOTAL).alias("total"))
+    positive = sums.where((F.col("total") > 0) & (F.col("total") < float("inf")))
+    traffic = positive.select("region_name", "road_name", (F.col("total") / F.sum("total").over(region)).alias("weight"))
     base = F.col("baseline_rate_per_minute")
-    both = assigned.join(traffic, ["region_name", "road_name"], "left")
-    regions = both.groupBy("region_name").agg(
-        F.count("weight").alias("_matched"), F.sum(F.when(base > 0, base)).alias("_baselines")
-    )
+    both = assigned.join(traffic, ["region_name", "road_name"], "left").withColumns({
+        "_matched": F.count("weight").over(region), "_baselines": F.sum(F.when(base > 0, base)).over(region),
+    })
     weight = F.when(F.col("_matched") > 0, F.col("weight")).when(base > 0, base / F.col("_baselines"))
-    return (
-        both.join(regions, "region_name").select("region_name", "road_id", weight.alias("weight"))
-        .where(F.col("weight").isNotNull())
-    )
+    return both.select("region_name", "road_id", weight.alias("weight")).where(F.col("weight").isNotNull())
 
 
 def region_profile(counts: DataFrame, roads: DataFrame) -> DataFrame:
@@ -401,6 +411,10 @@ def validated_region(regions: DataFrame) -> DataFrame:
     return regions.withColumn("baseline_rate_per_minute", F.greatest(rate, F.lit(0.05)))
 
 
+# The only share of a road whose mix is empty.
+DEFAULT_MIX = {"direction": "Unknown", "vehicle": "car_and_taxi"}
+
+
 def validated_mix(mix: DataFrame, keys: DataFrame, by: str, default: str | None) -> DataFrame:
     """Renormalised weights; keys left without any get ``default`` with weight 1."""
     kept = shares(mix.select(by, "key", "weight"), [by], "weight")

@@ -6,6 +6,8 @@ overall statistic. One observation is the total of one road in one minute of one
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,15 +73,17 @@ def merge_directions(parts: DataFrame) -> DataFrame:
     return parts.groupBy("road_id", "direction").agg(F.sum("count").alias("count"))
 
 
-def batch_metadata(events: DataFrame) -> DataFrame:
-    """Descriptors of each road's first event in the batch."""
+def batch_metadata(events: DataFrame, *, batch: Sequence[str] = ()) -> DataFrame:
+    """Descriptors of each road's first event in the batch; ``batch`` names the columns that tell
+    batches apart where the events are of several."""
     cols = [F.col(f"meta_{n}").alias(n) for n in META_FIELDS]
-    seen = _identified(events).select("road_id", "arrival", *cols)
-    seen = seen.groupBy("road_id", *META_FIELDS).agg(F.min("arrival").alias("arrival"))
-    first = seen.groupBy("road_id").agg(
+    keys = ["road_id", *batch]
+    seen = _identified(events).select(*keys, "arrival", *cols)
+    seen = seen.groupBy(*keys, *META_FIELDS).agg(F.min("arrival").alias("arrival"))
+    first = seen.groupBy(*keys).agg(
         F.min_by(F.struct(*META_FIELDS), F.struct("arrival", *META_FIELDS)).alias("m")
     )
-    return first.select("road_id", "m.*")
+    return first.select(*keys, "m.*")
 
 
 def merge_metadata(parts: DataFrame, order: str) -> DataFrame:

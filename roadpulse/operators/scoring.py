@@ -24,6 +24,12 @@ MIN_ROAD_RATE_PER_MINUTE = 2.0
 MIN_ROAD_RATE_RATIO = 0.25
 
 
+def _no_match(requests: DataFrame) -> Column:
+    """A join key that equals no other: requests without a key spread over all tasks, where a null
+    key would send them to one."""
+    return F.concat(F.lit("\x00"), F.xxhash64(*requests.columns).cast("string"))
+
+
 def lookup_profile(requests: DataFrame, roads: DataFrame) -> DataFrame:
     """Requests with their profile: by id, else by name in any case; the last road of a name wins.
 
@@ -45,6 +51,8 @@ def lookup_profile(requests: DataFrame, roads: DataFrame) -> DataFrame:
         "_id": F.nullif("road_id", F.lit("")),
         "_name": F.nullif(F.lower(strip(F.col("road_name"))), F.lit("")),
     })
+    nobody = _no_match(requests)
+    wanted = wanted.withColumns({"_id": F.coalesce("_id", nobody), "_name": F.coalesce("_name", nobody)})
     joined = wanted.join(profile, F.col("_id") == F.col("profile_road_id"), "left").join(
         by_name, F.col("_name") == F.col("_name_key"), "left"
     )
@@ -83,10 +91,13 @@ def predict(
         F.col("road_id").alias("profile_road_id"), "direction_key",
         F.col("d.key").alias("direction_name"), (F.col("d.weight") * F.col("_n")).alias("multiplier"),
     )
+    looked = looked.withColumns({
+        "direction_key": F.coalesce(F.lower(F.nullif("direction", F.lit(""))), F.lit("")),
+        "_road": F.coalesce("profile_road_id", _no_match(requests)),
+    })
     joined = (
-        looked.withColumn("direction_key", F.lower(F.nullif("direction", F.lit(""))))
-        .join(hour, ["profile_road_id", "hour"], "left")
-        .join(direction, ["profile_road_id", "direction_key"], "left")
+        looked.join(hour.withColumnRenamed("profile_road_id", "_road"), ["_road", "hour"], "left")
+        .join(direction.withColumnRenamed("profile_road_id", "_road"), ["_road", "direction_key"], "left")
     )
     zero = F.lit(0.0)
     base = F.coalesce("baseline", zero)

@@ -21,7 +21,7 @@ from roadpulse.functions import display
 from roadpulse.plans import inputs as I
 from roadpulse.sources import driver_tables as src
 from roadpulse.session import staged
-from roadpulse.sources.tables import first_available, prefer_root
+from roadpulse.sources.tables import failover_union, first_available, prefer_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 # 2024-01-01 12:05 UTC, the reading time of the run log.
@@ -161,10 +161,12 @@ def _forecast(s, sf):
 
 
 def _first_available(s, sf):
-    """Strict profiles first; where no road is observed that often, the usual ones."""
+    """Two choices: a first source that has rows, and one that has none (no road is observed that often)."""
     cols = ["road_id", "road_name", "baseline_rate_per_minute"]
-    strict = P.road_profile(I.counts(s, sf), min_observations=10**12)
-    return first_available([strict.select(*cols), I.roads(s, sf).select(*cols)])
+    usual = I.roads(s, sf).select(*cols)
+    strict = P.road_profile(I.counts(s, sf), min_observations=10**12).select(*cols)
+    named = lambda choice, df: df.withColumn("choice", F.lit(choice))
+    return named("second", first_available([strict, usual])).unionByName(named("first", first_available([usual, strict])))
 
 
 def _preferred_root(s, sf):
@@ -174,6 +176,28 @@ def _preferred_root(s, sf):
     return prefer_root([rows.where(F.hour("event_timestamp") < 6), rows], keys)
 
 
+def _failed_over(s, sf):
+    """Gold partials of two roots: every third batch failed over; one batch is in both, as after a retry."""
+    rows = I.gold_partials(s, sf).select("role", *PLACE, "road_id", "event_timestamp", "batch_id", "total_vehicles")
+    third = F.col("batch_id") % 3
+    return failover_union([rows.where(third != 1), rows.where((third == 1) | (F.col("batch_id") == 0))])
+
+
+def _merged_metadata(s, sf):
+    """Descriptors over batches, half of which know no road type."""
+    known = I.events(s, sf).withColumn(
+        "meta_road_type", F.when(F.col("batch_id") % 2 == 1, F.col("meta_road_type")).otherwise(F.lit("")))
+    return U.merge_metadata(U.batch_metadata(known, batch=["batch_id"]), "batch_id")
+
+
+def _validated_mix(s, sf):
+    """Direction shares read back; the roads whose name ends in 3 lost theirs."""
+    roads = I.roads(s, sf)
+    mix = P.by_road_id(roads, P.road_direction_mix(I.counts(s, sf)))
+    weight = F.when(F.col("road_id").endswith("3"), F.lit(0.0)).otherwise(F.col("weight") * 2)
+    return P.validated_mix(mix.withColumn("weight", weight), roads, "road_id", P.DEFAULT_MIX["direction"])
+
+
 def _meta(s, sf):
     counts, roads = I.counts(s, sf), staged(I.roads(s, sf))
     return P.profile_meta(roads, P.region_profile(counts, roads), P.segment_catalogue(counts))
@@ -187,10 +211,11 @@ def _slices(s, sf):
 def _raw_index(s, sf):
     """A region index with the faults of a foreign file."""
     nth = F.length("region_name")
+    rate = F.col("baseline_rate_per_minute")
     return P.region_index(_regions(s, sf)).select(
         F.when(nth % 2 == 0, F.col("id")).otherwise(F.lit(" ")).alias("id"),
         F.concat(F.lit(" "), "region_name", F.lit(" ")).alias("region_name"),
-        F.when(nth == 4, "n/a").otherwise((-F.col("baseline_rate_per_minute")).cast("string"))
+        F.when(nth == 4, "n/a").when(nth == 7, (-rate).cast("string")).otherwise(rate.cast("string"))
         .alias("baseline_rate_per_minute"),
         F.when(nth == 6, "x").otherwise(F.col("road_count").cast("string")).alias("road_count"),
     )
@@ -219,8 +244,7 @@ def _weights(s, sf):
 
 
 def _class_rows(s, sf):
-    rows = I.gold_rows(s, sf).where(F.col("role") == "authority")
-    return R.unpivot_classes(rows, [*PLACE, "event_timestamp"])
+    return R.unpivot_classes(I.gold_rows(s, sf), ["role", *PLACE, "road_id", "event_timestamp"])
 
 
 _QUERIES: dict[str, Query] = {
@@ -237,7 +261,7 @@ _QUERIES: dict[str, Query] = {
     "first_known_descriptor": lambda s, sf: G.first_known_descriptor(I.events(s, sf)),
     "merge_gold_partials": lambda s, sf: G.merge_gold_partials(I.gold_partials(s, sf)),
     "normalise_gold": lambda s, sf: R.normalise_gold(_foreign_gold(s, sf)),
-    "vehicle_mix_totals": lambda s, sf: A.vehicle_mix_totals(I.live(s, sf)),
+    "vehicle_mix_totals": lambda s, sf: A.vehicle_mix_totals(A.by_role(I.live(s, sf), "primary")),
     # counts
     "clean_counts": _clean,
     "prepare_counts": _prepared,
@@ -255,19 +279,20 @@ _QUERIES: dict[str, Query] = {
     "region_authority_mix": lambda s, sf: P.region_authority_mix(I.counts(s, sf), I.roads(s, sf)),
     "region_road_share": lambda s, sf: P.region_road_share(I.counts(s, sf), staged(I.roads(s, sf))),
     "region_profile": _regions,
-    "road_index": lambda s, sf: P.road_index(I.roads(s, sf)).orderBy("road_name"),
+    "road_index": lambda s, sf: P.road_index(P.profiled_roads(I.counts(s, sf))).orderBy("road_name"),
     "region_index": lambda s, sf: P.region_index(_regions(s, sf)).orderBy("region_name"),
     "profile_meta": _meta,
     "region_slices": _slices,
     "list_regions_clean": lambda s, sf: P.list_regions_clean(_raw_index(s, sf)),
     "first_available": _first_available,
     "prefer_root": _preferred_root,
+    "failover_union": _failed_over,
     # running profiles
     "minute_totals": lambda s, sf: U.minute_totals(I.events(s, sf)),
     "welford_single_batch": I.run_stats,
     "welford_merge": lambda s, sf: U.merge_stats(_batch_parts(s, sf)),
     "direction_counts": lambda s, sf: U.direction_counts(I.events(s, sf)),
-    "merge_metadata": lambda s, sf: U.batch_metadata(I.events(s, sf)),
+    "merge_metadata": _merged_metadata,
     "runtime_road_profile": I.run_roads,
     "runtime_hours": lambda s, sf: U.runtime_hours(
         I.run_stats(s, sf), min_observations=I.RUNTIME_MIN_OBSERVATIONS
@@ -284,6 +309,7 @@ _QUERIES: dict[str, Query] = {
     "normalise_weights": _weights,
     "complete_hour_profile": _completed,
     "validated_profile": lambda s, sf: P.validated_profile(I.roads(s, sf)),
+    "validated_mix": _validated_mix,
     "expected_road_rate": _expected_rate,
     # analytics
     "trailing_window": lambda s, sf: A.trailing_window(I.live(s, sf), A.LIVE_MINUTES).select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,59 +10,47 @@ from roadpulse.operators import cleaning, gold, profiles, records, runtime
 from roadpulse.operators.events import normalise_events
 from roadpulse.sources import driver_tables as src
 
-# A frame is a lazy plan: building it once per session saves driver time and holds no data.
-_built_once = lru_cache(maxsize=64)
-
 # Long history of the deployed dashboard, in minutes.
 WINDOW = 180
 # The derived counts are thin, so hours need few observations.
 RUNTIME_MIN_OBSERVATIONS = 3
 
 
-@_built_once
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return normalise_events(src.traffic_events(spark, sf))
 
 
-@_built_once
 def gold_rows(spark: SparkSession, sf: str) -> DataFrame:
     return gold.gold_all(events(spark, sf))
 
 
-@_built_once
 def gold_partials(spark: SparkSession, sf: str) -> DataFrame:
     return gold.gold_all(events(spark, sf), batch=["batch_id"])
 
 
-@_built_once
 def live(spark: SparkSession, sf: str) -> DataFrame:
     """Records of the gold table; its own roll-ups need no density backfill."""
     return records.normalise_gold(gold_rows(spark, sf), backfill=False)
 
 
-@_built_once
 def counts(spark: SparkSession, sf: str) -> DataFrame:
     """Prepared counts. The typed source has nothing for the text cleaning to do but map directions."""
     return cleaning.prepare_counts(cleaning.clean_counts(src.traffic_counts(spark, sf)))
 
 
-@_built_once
 def roads(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.road_profile(counts(spark, sf))
 
 
-@_built_once
 def run_stats(spark: SparkSession, sf: str) -> DataFrame:
     return runtime.batch_stats(runtime.minute_totals(events(spark, sf)))
 
 
-@_built_once
 def run_roads(spark: SparkSession, sf: str) -> DataFrame:
     e = events(spark, sf)
     return runtime.runtime_road_profile(run_stats(spark, sf), runtime.batch_metadata(e))
 
 
-@_built_once
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """One scoring request per customer: by id, by padded name, or for an unknown road."""
     key = F.col("c_custkey")
@@ -80,14 +66,12 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@_built_once
 def region_series(spark: SparkSession, sf: str) -> DataFrame:
     """Vehicles per region and minute, gaps filled, from the region rows."""
     rows = records.normalise_gold(gold.gold_region(events(spark, sf)), backfill=False)
     return A.minute_series(rows, ["region_name"])
 
 
-@_built_once
 def region_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Expected flow of a region: the mean baseline of its roads."""
     return runtime.runtime_region_profile(run_roads(spark, sf)).select(
@@ -95,7 +79,6 @@ def region_flow(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@_built_once
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Three generations of predictions for every target minute of a region."""
     lead = F.col("lead")
@@ -111,7 +94,6 @@ def last_generation(predicted: DataFrame):
     return predicted.agg(F.max("generated_at").alias("m")).scalar()
 
 
-@_built_once
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
     """One flush per batch and topic, stamped with the newest event in it."""
     return events(spark, sf).groupBy(
@@ -123,7 +105,6 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@_built_once
 def component_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Component status rows, one per part and a later one for every third part."""
     key = F.col("p_partkey")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,21 @@ ORDER = "record_ord"
 def clean_job(spark: SparkSession, source: str, target: str) -> None:
     """Clean a raw CSV and store it as parquet with an order column."""
     raw = read_raw_counts(spark, source)
-    # The position in the file, as (file split, line), stands for "first" from here on.
-    clean = cleaning.clean_counts(raw).withColumn(ORDER, F.monotonically_increasing_id())
-    write_clean_counts(clean, target)
+    write_clean_counts(cleaning.clean_counts(with_file_order(raw)), target)
+
+
+def with_file_order(rows: DataFrame) -> DataFrame:
+    """Rows read from files with their position as one BIGINT: the file by name, the block in it
+    (blocks start at least 1 MiB apart), the row in the block. Tasks pack blocks by size, so a
+    plain running number would not be the order of the file."""
+    # Spark writes the root of a path with one slash here and with three there.
+    files = sorted(re.sub("^file:/+", "/", f) for f in rows.inputFiles())
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
+    place = F.array_position(F.array(*[F.lit(f) for f in files]), path)
+    number = F.when(place > 0, place - 1).otherwise(F.raise_error(F.concat(F.lit("not an input file: "), path)).cast("bigint"))
+    block = F.shiftright(F.col("_metadata.file_block_start"), 20)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn(ORDER, F.shiftleft(number, 53).bitwiseOR(F.shiftleft(block, 33)).bitwiseOR(row))
 
 
 def build_profiles(
@@ -33,7 +46,7 @@ def build_profiles(
     """
     clean = read_clean_counts(spark, clean_path)
     if ORDER not in clean.columns:
-        clean = clean.withColumn(ORDER, F.monotonically_increasing_id())
+        raise cleaning.MissingColumns(f"{ORDER}: which row comes first is not known")
     counts = cleaning.prepare_counts(clean)
 
     def store(table: str, df: DataFrame) -> None:
@@ -43,7 +56,10 @@ def build_profiles(
         return reduce(DataFrame.unionByName, [df.withColumn("dim", F.lit(d)) for d, df in mixes.items()])
 
     store("segment", profiles.segment_catalogue(counts))
-    store("road_profile", profiles.road_profile(counts, min_observations=min_observations))
+    store("road_name", profiles.profiled_roads(counts, min_observations=min_observations))
+    named = read_profile(spark, root, "road_name")
+    store("road_index", profiles.road_index(named))
+    store("road_profile", profiles.one_per_id(named))
     roads = read_profile(spark, root, "road_profile")
     store("road_hour", profiles.by_road_id(roads, profiles.road_hour_profile(counts)))
     store("road_mix", profiles.by_road_id(roads, long(

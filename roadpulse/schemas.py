@@ -20,7 +20,6 @@ VEHICLE_CLASSES = (
 )
 CLASS_FIELDS = tuple(c[0] for c in VEHICLE_CLASSES)
 CLASS_GOLD = tuple(c[1] for c in VEHICLE_CLASSES)
-CLASS_KEYS = tuple(c[2] for c in VEHICLE_CLASSES)
 HEAVY_FIELDS = tuple(f for f in CLASS_FIELDS if f.startswith("heavy_goods_vehicle_"))
 
 # Raw count columns and the names they get.
@@ -69,6 +68,7 @@ DIRECTION_CODES = {
     "8": "Anticlockwise",
 }
 
+# Columns of the clean counts.
 CLEAN_TEXT = (
     "count_point_identifier", "travel_direction", "region_name", "local_authority_name",
     "road_name", "road_type", "start_junction_road_name", "end_junction_road_name",
@@ -88,10 +88,12 @@ CLEAN_ESSENTIAL = (
 )
 PROFILE_REQUIRED = ("road_name", "all_motor_vehicle_count", "hour_of_day", "observation_date")
 
-RAW_COUNTS = T.StructType(
-    [T.StructField(n, T.StringType()) for n in RAW_TO_CLEAN]
-    + [T.StructField(n, T.StringType()) for n in RAW_DROPPED]
+# Texts that stand for a missing value when clean counts come as CSV.
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+
 CLEAN_COUNTS = T.StructType(
     [T.StructField(n, T.StringType()) for n in CLEAN_TEXT]
     + [T.StructField("observation_date", T.DateType()), T.StructField("hour_of_day", T.IntegerType())]
@@ -122,6 +124,15 @@ GOLD = T.StructType(
        T.StructField("writer_failover_active", T.BooleanType())]
 )
 
+# As stored: the batch is a partition folder below day and hour.
+STORED_GOLD = T.StructType(
+    [f for f in GOLD.fields if f.name != "batch_id"]
+    + [T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType()), T.StructField("batch_id", T.LongType())]
+)
+
+# Hours folded by the maintenance job: all batches up to ``upto`` in one row per key and minute.
+FOLDED_GOLD = T.StructType([f for f in STORED_GOLD.fields if f.name != "batch_id"] + [T.StructField("upto", T.LongType())])
+
 STATE_STAT = T.StructType([
     T.StructField("road_id", T.StringType()),
     T.StructField("hour", T.IntegerType()),  # null: the road's overall statistic

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM interprets methods beyond 8,000 bytes; operators that would need one run apart instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

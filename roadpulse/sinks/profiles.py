@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.operators.profiles import assigned_region, region_slugs
 
 TABLES = (
-    "segment", "road_profile", "road_hour", "road_mix", "region_profile", "region_hour", "region_mix", "meta",
+    "segment", "road_name", "road_index", "road_profile", "road_hour", "road_mix", "region_profile", "region_hour", "region_mix", "meta",
 )
 
 

@@ -16,25 +16,30 @@ Write = Callable[[str, bool], None]
 
 def write_silver(events: DataFrame, root: str, batch_id: int) -> None:
     """Unmodified payloads (column ``value`` of normalised events) under
-    ``batch_id / region_slug / dt / hour``.
+    ``dt / hour / batch_id / region_slug``.
 
     Rebalancing writes few files per partition and splits a hot region.
     """
     rows = silver_keys(events).select("topic", "partition", "offset", "ingest_ts", "value", "region_slug", "dt", "hour")
-    _write_partitioned(rows, f"{root}/batch_id={batch_id}", ["region_slug", "dt", "hour"])
+    _write_batch(rows, root, batch_id, ["region_slug"])
 
 
-def _write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
+def _write_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
+    """Day and hour come first, so that readers list what they need however many batches there
+    are. Only this batch's own folders are replaced."""
+    folders = ["dt", "hour", "batch_id", *by]
+    rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", *[F.col(c) for c in ("dt", "hour", *by)])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
 def write_gold(gold: DataFrame, root: str, batch_id: int, *, failover: bool = False) -> None:
-    """Gold rows under ``batch_id / dt``; the day lets readers prune."""
-    rows = gold.withColumns({
+    """Gold rows under ``dt / hour / batch_id``."""
+    rows = gold.drop("batch_id").withColumns({
         "writer_failover_active": F.lit(failover),
         "dt": F.date_format("event_timestamp", "yyyyMMdd"),
-    }).drop("batch_id")
-    _write_partitioned(rows, f"{root}/batch_id={batch_id}", ["dt"])
+        "hour": F.date_format("event_timestamp", "HH"),
+    })
+    _write_batch(rows, root, batch_id)
 
 
 def write_with_failover(write: Write, primary: str, secondary: str | None = None) -> bool:

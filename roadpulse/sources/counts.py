@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators.cleaning import MissingColumns
-from roadpulse.schemas import CLEAN_COUNTS, PROFILE_REQUIRED
+from roadpulse.schemas import CLEAN_COUNTS, NULL_TEXTS, PROFILE_REQUIRED
 
 # File names of the raw counts, best first.
 RAW_FILES = ("dft_traffic_counts_raw_counts.csv", "dft_traffic_counts.csv")
@@ -36,15 +36,15 @@ def read_raw_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clean_counts(spark: SparkSession, path: str, *, form: str = "parquet") -> DataFrame:
-    """The clean table with its types; columns beyond the schema pass through."""
+    """The clean table with its types; columns beyond the schema pass through. In the CSV form the
+    usual texts for a missing value are null."""
     if form == "parquet":
         df = spark.read.parquet(path)
     elif form == "csv":
         text = spark.read.option("header", True).option("escape", '"').csv(path)
         types = {f.name: f.dataType for f in CLEAN_COUNTS.fields}
-        df = text.select(*[
-            F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in text.columns
-        ])
+        known = {c: F.when(~F.col(f"`{c}`").isin(*NULL_TEXTS), F.col(f"`{c}`")) for c in text.columns}
+        df = text.select(*[v.try_cast(types[c]).alias(c) if c in types else v.alias(c) for c, v in known.items()])
     else:
         raise ValueError(f"unknown form: {form}")
     absent = sorted(set(PROFILE_REQUIRED) - set(df.columns))

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from roadpulse.schemas import RAW_EVENT
 
+# Files older than this, against the newest one, are not looked at. Longer than any outage.
+MAX_FILE_AGE = "3650d"
+# Spooled events sort after those of every live partition.
+SPOOL_PARTITION = (1 << 15) - 1
+
 
 def kafka_events(
     spark: SparkSession, servers: str, topics: Sequence[str], *, max_per_trigger: int | None = None
@@ -30,7 +35,7 @@ def landed_events(
     spark: SparkSession, folder: str, *, form: str = "json", max_files: int | None = None
 ) -> DataFrame:
     """The same columns from files that land in a folder (JSON lines or parquet)."""
-    reader = spark.readStream.schema(RAW_EVENT)
+    reader = spark.readStream.schema(RAW_EVENT).option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.format(form).load(folder)
@@ -41,16 +46,19 @@ def spooled_events(
 ) -> DataFrame:
     """Events that could not be sent, one JSON file each, oldest first; read files move to ``archive``.
 
-    The arrival number is the file's modification time.
+    Their partition is one no live event has. The arrival number is the file's modification
+    time in milliseconds, seconds in the high bits, and six bits of its name for equal times.
     """
+    changed = F.unix_millis("_metadata.file_modification_time")
+    tie = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(64))
+    number = F.shiftleft((changed / 1000).cast("bigint"), 16) + F.shiftleft(changed % 1000, 6) + tie
     return (
-        spark.readStream.format("text").option("wholetext", True)
+        spark.readStream.format("text").option("wholetext", True).option("maxFileAge", MAX_FILE_AGE)
         .option("maxFilesPerTrigger", max_files).option("latestFirst", False)
         .option("cleanSource", "archive").option("sourceArchiveDir", archive)
         .load(folder)
         .select(
-            F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-            F.unix_micros("_metadata.file_modification_time").alias("offset"),
+            F.lit(topic).alias("topic"), F.lit(SPOOL_PARTITION).alias("partition"), number.alias("offset"),
             F.col("_metadata.file_modification_time").alias("ingest_ts"),
             "value",
         )
@@ -58,18 +66,22 @@ def spooled_events(
 
 
 def with_replay(live: DataFrame, spooled: DataFrame, *, within: str = "1 hour") -> DataFrame:
-    """Live and replayed payloads, each event id once within the watermark."""
+    """Live and replayed payloads, each event id once within ``within`` of its first reading.
+
+    The watermark runs on the time of reading, not on the age of an event: what is replayed
+    after an outage of any length is never late.
+    """
     both = live.unionByName(spooled).withColumn(
         "event_id", F.try_variant_get(F.try_parse_json("value"), "$.event_id", "string")
     )
     # Payloads without an id (broken ones) are told apart by their text.
     key = F.coalesce("event_id", F.sha2("value", 256))
     return (
-        both.withColumn("event_id", key).withWatermark("ingest_ts", within)
-        .dropDuplicatesWithinWatermark(["event_id"]).drop("event_id")
+        both.withColumns({"event_id": key, "read_ts": F.current_timestamp()}).withWatermark("read_ts", within)
+        .dropDuplicatesWithinWatermark(["event_id"]).drop("event_id", "read_ts")
     )
 
 
 def gold_stream(spark: SparkSession, folder: str, schema, *, form: str = "parquet") -> DataFrame:
     """New files of a table, each once; the checkpoint remembers which were read."""
-    return spark.readStream.schema(schema).format(form).load(folder)
+    return spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE).format(form).load(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,18 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadpulse.schemas import STORED_GOLD
+
 
 def first_available(sources: Sequence[DataFrame]) -> DataFrame:
-    """All rows of the first source that has any, chosen by a scalar subquery."""
-    tagged = reduce(DataFrame.unionByName, [
-        df.withColumn("_priority", F.lit(i)) for i, df in enumerate(sources)
-    ])
-    # One row per source is enough to know which come up empty.
-    present = reduce(DataFrame.unionByName, [
-        df.limit(1).select(F.lit(i).alias("_priority")) for i, df in enumerate(sources)
-    ])
-    best = present.agg(F.min("_priority").alias("m")).scalar()
-    return tagged.where(F.col("_priority") == best).drop("_priority")
+    """The first source that has any row, else the last. One row of a source tells, so the
+    sources after the chosen one are never run, and the chosen one alone is in the plan."""
+    return next((df for df in sources if not df.isEmpty()), sources[-1])
 
 
 def prefer_root(roots: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -37,6 +33,16 @@ def prefer_root(roots: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return tagged.join(firsts, same & (F.col("source_root") == F.col("_first")), "left_semi")
 
 
+def failover_union(roots: Sequence[DataFrame], batch: str = "batch_id") -> DataFrame:
+    """One table that batches wrote to several roots, each batch wholly to one of them.
+
+    Every batch of every root counts; a batch that several roots hold (it failed over, and a
+    retry reached the first root) comes from the first of them. Different batches of one minute
+    both stay. The batch ids are few, so the join needs no exchange of the rows.
+    """
+    return prefer_root(roots, [batch]).drop("source_root")
+
+
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet table under a fixed schema, or no rows where it does not exist yet."""
     try:
@@ -53,18 +59,22 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths)
 
 
-def list_files(spark: SparkSession, roots: Sequence[str], *, max_depth: int = 3) -> DataFrame:
-    """Data files (path, modified, size) below the roots, each once. Contents are not read."""
-    found = []
+def list_files(spark: SparkSession, roots: Sequence[str], *, max_depth: int | None = None) -> DataFrame:
+    """Data files (path, modified, size) below the roots, each once, at any depth unless
+    ``max_depth`` says otherwise. Contents are not read; a root that does not exist has no files."""
+    found = [spark.createDataFrame([], "path string, modified timestamp, size bigint")]
     for root in dict.fromkeys(roots):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        # Folders between the root and the file; the root itself is level one.
-        below = F.regexp_replace("path", r"^.*?" + _quoted(root.rstrip("/")) + "/", "")
-        found.append(
-            files.where(F.size(F.split(below, "/")) <= max_depth).select(
-                "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")
-            )
-        )
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+                raise
+            continue
+        if max_depth is not None:
+            # Folders between the root and the file; the root itself is level one.
+            below = F.regexp_replace("path", r"^.*?" + _quoted(root.rstrip("/")) + "/", "")
+            files = files.where(F.size(F.split(below, "/")) <= max_depth)
+        found.append(files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -72,35 +82,52 @@ def _quoted(text: str) -> str:
     return r"\Q" + text.split("://")[-1] + r"\E"
 
 
-def recent_files(spark: SparkSession, roots: Sequence[str], k: int = 12, *, max_depth: int = 3) -> DataFrame:
+def recent_files(spark: SparkSession, roots: Sequence[str], k: int, *, max_depth: int | None = None) -> DataFrame:
     """The ``k`` newest files, oldest of them first."""
     newest = list_files(spark, roots, max_depth=max_depth).orderBy(F.desc("modified"), F.desc("path")).limit(k)
     return newest.orderBy("modified", "path")
 
 
-def read_recent(spark: SparkSession, roots: Sequence[str], schema: T.StructType, k: int = 12) -> DataFrame:
-    """Rows of the ``k`` newest JSON-lines files; ``k`` bounds what reaches the driver."""
-    paths = [r["path"] for r in recent_files(spark, roots, k).collect()]
-    return read_jsonl(spark, paths, schema) if paths else spark.createDataFrame([], schema)
+def read_recent(spark: SparkSession, roots: Sequence[str], schema: T.StructType, since: datetime) -> DataFrame:
+    """Rows of all JSON-lines files changed at or after ``since`` (UTC), at any depth below the
+    roots; absent roots have none. No path reaches the driver."""
+    found = [spark.createDataFrame([], schema)]
+    # The option means "strictly later", to the second.
+    after = (since - timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    for root in dict.fromkeys(roots):
+        try:
+            found.append(
+                spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True)
+                .option("modifiedAfter", after).option("timeZone", "UTC").json(root)
+            )
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+                raise
+    return reduce(DataFrame.unionByName, found)
 
 
-def read_gold_window(spark: SparkSession, path: str, minutes: int) -> DataFrame:
-    """The trailing window of a stored gold table, with partition pruning.
+def read_gold_window(
+    spark: SparkSession, path: str, minutes: int, newest: datetime | None, *, schema: T.StructType | None = None
+) -> DataFrame:
+    """The trailing window of a stored gold table (``dt=/hour=/batch_id=``) before ``newest``.
 
-    The newest day partition gives the newest minute; the window then filters with
-    literals, so only the days it touches are listed and scanned.
+    ``newest`` comes from the job's high-water mark, so nothing is scanned to find it. Only the
+    folders of the window's hours are listed: the cost does not grow with the table's age.
     """
-    gold = spark.read.parquet(path)
+    if newest is None:
+        return table_or_empty(spark, path, schema or STORED_GOLD)
     if minutes <= 0:
-        return gold
-    last_day = gold.agg(F.max("dt").alias("dt")).first()["dt"]
-    if last_day is None:
-        return gold
-    newest = gold.where(F.col("dt") == last_day).agg(F.max("event_timestamp").alias("m"))
-    span = newest.select(
-        (F.col("m") - F.make_dt_interval(mins=F.lit(minutes))).alias("since"),
-        F.date_format(F.col("m") - F.make_dt_interval(mins=F.lit(minutes)), "yyyyMMdd").alias("first_day"),
-    ).first()
-    return gold.where(
-        (F.col("dt") >= span["first_day"]) & (F.col("event_timestamp") >= F.lit(span["since"]))
-    )
+        return table_or_empty(spark, path, schema or STORED_GOLD)
+    start = newest - timedelta(minutes=minutes)
+    reader = spark.read.schema(schema or STORED_GOLD)
+    # Folders are named in UTC, the session's zone.
+    first = start.astimezone(timezone.utc).replace(minute=0, second=0, microsecond=0)
+    hours = [first + timedelta(hours=n) for n in range(int((newest.astimezone(timezone.utc) - first) / timedelta(hours=1)) + 1)]
+    folders = "{" + ",".join(h.strftime("dt=%Y%m%d/hour=%H") for h in hours) + "}"
+    try:
+        rows = reader.option("basePath", path).parquet(f"{path.rstrip('/')}/{folders}")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], schema or STORED_GOLD)
+    return rows.where((F.col("event_timestamp") >= F.lit(start)) & (F.col("event_timestamp") <= F.lit(newest)))

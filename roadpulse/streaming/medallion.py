@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,20 +13,28 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import gold as gold_ops
-from roadpulse.operators.events import dead_letters, normalise_events, object_payloads, variant_fields
-from roadpulse.schemas import GOLD, RUN_LOG
+from roadpulse.operators.events import normalise_events, parsed_payloads, variant_fields
+from roadpulse.schemas import FOLDED_GOLD, RUN_LOG, STORED_GOLD
 from roadpulse.sinks import writers
-from roadpulse.sources.tables import table_or_empty
+from roadpulse.sources.tables import read_gold_window, table_or_empty
 from roadpulse.streaming import state
 
 TRIGGER = "20 seconds"
 LATE_MINUTES = 10
+# The newest event time stands in one of so many slots, by batch id; so finding it costs the
+# same after a day and after a year.
+SLOTS = 64
+MARK = T.StructType([
+    T.StructField("batch", T.LongType()), T.StructField("newest_event_ts", T.TimestampType()), T.StructField("slot", T.IntegerType()),
+])
 _LOG = T.StructType([*RUN_LOG.fields, T.StructField("max_event_ts", T.TimestampType())])
+FOLDED_LOG = T.StructType([*_LOG.fields, T.StructField("source_root", T.IntegerType()), T.StructField("upto", T.LongType())])
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a stream job writes; ``failover`` takes silver and gold when ``root`` cannot."""
+    """Where a stream job writes. A batch goes wholly to ``root``, or, when that cannot take it,
+    wholly to ``failover``; readers take each batch from one of them."""
 
     root: str
     failover: str | None = None
@@ -34,57 +43,119 @@ class Layout:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def spare(self, table: str) -> str | None:
-        return f"{self.failover}/{table}" if self.failover else None
+    @property
+    def roots(self) -> list[str]:
+        return [self.root, self.failover] if self.failover else [self.root]
 
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     """Everything one micro-batch writes. Running it again with the same id changes nothing."""
-    spark = batch.sparkSession
-    stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    events = normalise_events(object_payloads(stamped), field=variant_fields())
-    # Read by five writes below; a lost executor's part is computed again from the source.
-    events = events.persist(StorageLevel.MEMORY_AND_DISK)
+    # Parsed once; read by the writes below. A lost executor's part is computed again from the source.
+    parsed = parsed_payloads(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dead_letters(batch).write.mode("overwrite").parquet(f"{layout.path('dead_letters')}/batch_id={batch_id}")
-        rows = gold_ops.gold_all(events)
-
-        def silver(root: str, _: bool) -> None:
-            writers.write_silver(events, root, batch_id)
-
-        def gold(root: str, failover: bool) -> None:
-            writers.write_gold(rows, root, batch_id, failover=failover)
-
-        spare_silver = writers.write_with_failover(silver, layout.path("silver"), layout.spare("silver"))
-        spare_gold = writers.write_with_failover(gold, layout.path("gold"), layout.spare("gold"))
-        late = late_events(events, seen_until(events, layout, batch_id))
-        if not late.isEmpty():
-            writers.write_gold(gold_ops.gold_all(late), layout.path("gold_late"), batch_id)
-        state.write_delta(state.batch_state(events), layout.path("state"), batch_id)
-
-        written = layout.spare("gold") if spare_gold else layout.path("gold")
-        entry = events.agg(
-            F.lit(layout.component).alias("component"),
-            F.lit(time.time()).alias("last_flush_time"),
-            F.count(F.lit(1)).alias("total_events"),
-            F.lit(_rows_in(spark, f"{written}/batch_id={batch_id}")).cast("bigint").alias("gold_records"),
-            F.array_sort(F.collect_set("topic")).alias("topics"),
-            F.lit(spare_silver or spare_gold).alias("writer_failover_active"),
-            F.max("event_ts").alias("max_event_ts"),
-        )
-        writers.write_run_log(entry, layout.path("run_log"), batch_id)
-    finally:
-        events.unpersist()
-
-
-def _rows_in(spark: SparkSession, path: str) -> int:
-    return table_or_empty(spark, path, GOLD).count()
+        events = normalise_events(parsed.where("is_object"), field=variant_fields())
+        dead = parsed.where(~F.col("is_object")).select(*batch.columns)
+        # Also before the first write: what fails here is the source, not the root.
+        own = events.agg(F.max("event_ts").alias("newest"), F.count(F.lit(1)).alias("n")).first()
+        seen = newest_event(batch.sparkSession, layout, before=batch_id)
 
+        def write(root: str, failover: bool) -> None:
+            _write_all(events, dead, batch_id, root, failover, layout.component, own, seen)
 
-def seen_until(events: DataFrame, layout: Layout, batch_id: int):
-    """Newest event time of the earlier batches, from the run log (one row per batch)."""
-    log = table_or_empty(events.sparkSession, layout.path("run_log"), _LOG)
-    return log.where(F.col("batch_id") < batch_id).agg(F.max("max_event_ts").alias("m")).first()["m"]
+        writers.write_with_failover(write, layout.root, layout.failover)
+    finally:
+        parsed.unpersist()
+
+
+def _write_all(events, dead, batch_id: int, root: str, failover: bool, component: str, own, seen: datetime | None) -> None:
+    """All tables of a batch below one root; the run log comes last and says it is complete."""
+    dead.write.mode("overwrite").parquet(f"{root}/dead_letters/batch_id={batch_id}")
+    writers.write_silver(events, f"{root}/silver", batch_id)
+    rows = gold_ops.gold_all(events).observe(counted := _counter("gold"), F.count(F.lit(1)).alias("n"))
+    writers.write_gold(rows, f"{root}/gold", batch_id, failover=failover)
+    if seen is not None:
+        # Writes no file where nothing is late.
+        writers.write_gold(gold_ops.gold_all(late_events(events, seen)), f"{root}/gold_late", batch_id, failover=failover)
+    state.write_delta(state.batch_state(events), f"{root}/state", batch_id)
+
+    newest = max((t for t in (own.newest, seen) if t is not None), default=None)
+    spark = events.sparkSession
+    mark = spark.createDataFrame([(batch_id, newest)], T.StructType(MARK.fields[:2]))
+    mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/high_water/slot={batch_id % SLOTS}")
+    entry = events.agg(F.array_sort(F.collect_set("topic")).alias("topics")).select(
+        F.lit(component).alias("component"), F.lit(time.time()).alias("last_flush_time"),
+        F.lit(own.n).cast("bigint").alias("total_events"), F.lit(counted.get["n"]).cast("bigint").alias("gold_records"),
+        "topics", F.lit(failover).alias("writer_failover_active"), F.lit(own.newest).cast("timestamp").alias("max_event_ts"),
+    )
+    writers.write_run_log(entry, f"{root}/run_log", batch_id)
+
+
+def _counter(name: str):
+    """Counts the rows of a write as it passes them, so that nothing is read back."""
+    from pyspark.sql import Observation
+
+    return Observation(name)
+
+
+def newest_event(spark: SparkSession, layout: Layout, *, before: int | None = None) -> datetime | None:
+    """Newest event time of all batches (of those before one), from at most ``SLOTS`` rows a root."""
+    found = []
+    for root in layout.roots:
+        marks = table_or_empty(spark, f"{root}/high_water", MARK)
+        marks = marks if before is None else marks.where(F.col("batch") < before)
+        found.append(marks.agg(F.max("newest_event_ts").alias("m")).first()["m"])
+    return max((t for t in found if t is not None), default=None)
+
+
+def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
+    """One row per complete batch and the number of the root that holds it: the first whose log has
+    the batch. Folded entries stand in one table, so only the batches since are listed."""
+    parts = [table_or_empty(spark, f"{root}/run_log", _LOG).withColumn("source_root", F.lit(n)) for n, root in enumerate(layout.roots)]
+    folded = table_or_empty(spark, layout.path("run_log_folded"), FOLDED_LOG)
+    latest = folded.agg(F.max("upto").alias("m")).first()["m"]
+    every = folded.where(F.col("upto") == F.lit(-1 if latest is None else latest)).drop("upto")
+    for part in parts:
+        every = every.unionByName(part.select(*every.columns))
+    first = every.groupBy("batch_id").agg(F.min("source_root").alias("source_root"))
+    return every.join(first, ["batch_id", "source_root"], "left_semi").dropDuplicates(["batch_id"])
+
+
+def complete_batches(spark: SparkSession, layout: Layout) -> DataFrame:
+    return run_log(spark, layout).select("batch_id", "source_root")
+
+
+def read_batches(spark: SparkSession, layout: Layout, table: str, schema: T.StructType, *, minutes: int = 0) -> DataFrame:
+    """A batch table (gold, gold_late) over all roots: every complete batch once, from the root that
+    completed it. ``minutes`` reads only that long before the newest event, and lists only those hours."""
+    newest = newest_event(spark, layout) if minutes > 0 else None
+    parts = []
+    for n, root in enumerate(layout.roots):
+        path = f"{root}/{table}"
+        rows = read_gold_window(spark, path, minutes, newest, schema=schema) if minutes > 0 else table_or_empty(spark, path, schema)
+        parts.append(rows.withColumn("source_root", F.lit(n)))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.join(complete_batches(spark, layout), ["batch_id", "source_root"], "left_semi").drop("source_root")
+
+
+def read_folded(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> DataFrame:
+    """The hours that the maintenance job folded, each in its latest form."""
+    path = layout.path("gold_folded")
+    if minutes > 0:
+        rows = read_gold_window(spark, path, minutes, newest_event(spark, layout), schema=FOLDED_GOLD)
+    else:
+        rows = table_or_empty(spark, path, FOLDED_GOLD)
+    latest = rows.groupBy("dt", "hour").agg(F.max("upto").alias("upto"))
+    return rows.join(latest, ["dt", "hour", "upto"], "left_semi")
+
+
+def read_gold(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> DataFrame:
+    """Gold rows of all batches: folded hours, and the partial rows of the batches after the fold.
+    ``gold.merge_gold_partials`` makes one row per key and minute of them."""
+    folded = read_folded(spark, layout, minutes=minutes)
+    upto = folded.select("dt", "hour", F.col("upto").alias("_upto")).distinct()
+    rows = read_batches(spark, layout, "gold", STORED_GOLD, minutes=minutes).join(upto, ["dt", "hour"], "left")
+    fresh = rows.where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto"))).drop("_upto")
+    return fresh.unionByName(folded.withColumnRenamed("upto", "batch_id"))
 
 
 def late_events(events: DataFrame, newest, delay_minutes: int = LATE_MINUTES) -> DataFrame:

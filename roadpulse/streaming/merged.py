@@ -48,6 +48,21 @@ def gold_merged(events: DataFrame, role: str = "primary", *, watermark: str = WA
     )
 
 
+def run_gold_merged(
+    events: DataFrame, root: str, checkpoint: str, *, watermark: str = WATERMARK, available_now: bool = False
+) -> list[StreamingQuery]:
+    """Store the closed minutes of all three levels, one query and one table (``role``) each, by
+    day. The file sink's log makes every minute count once; what comes later than the watermark
+    is in ``gold_late`` of the batch job."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": "20 seconds"}
+    started = []
+    for role in _LEVELS:
+        rows = gold_merged(events, role, watermark=watermark).withColumn("dt", F.date_format("event_timestamp", "yyyyMMdd"))
+        writer = rows.writeStream.outputMode("append").format("parquet").partitionBy("dt").option("path", f"{root}/{role}")
+        started.append(writer.option("checkpointLocation", f"{checkpoint}/{role}").trigger(**trigger).start())
+    return started
+
+
 def closed_minutes(events: DataFrame, *, watermark: str = WATERMARK) -> DataFrame:
     """Totals of identified roads for minutes that can no longer change."""
     return (

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.plans import inputs
-from roadpulse.plans.profile_job import build_profiles, clean_job
+from roadpulse.operators.cleaning import MissingColumns
+from roadpulse.plans.profile_job import build_profiles, clean_job, with_file_order
 from roadpulse.plans.scoring_job import score
 from roadpulse.operators.operations import table_freshness
 from roadpulse.sinks import writers
@@ -96,22 +98,67 @@ def test_recent_files_and_broken_lines(spark, tmp_path):
     deep.mkdir(parents=True)
     (deep / "deep.jsonl").write_text('{"n": 99}\n')
     roots = [str(tmp_path), str(tmp_path / "a")]
+    os.utime(deep / "deep.jsonl", (1002.5, 1002.5))
     names = [r["path"].rsplit("/", 1)[1] for r in tables.recent_files(spark, roots, 2, max_depth=2).collect()]
     assert names == ["f2.jsonl", "f3.jsonl"]
+    # Any depth by default, and absent roots are skipped.
+    roots.append(str(tmp_path / "absent"))
+    names = {r["path"].rsplit("/", 1)[1] for r in tables.list_files(spark, roots).collect()}
+    assert names == {"f0.jsonl", "f1.jsonl", "f2.jsonl", "f3.jsonl", "deep.jsonl"}
     schema = spark.createDataFrame([(1,)], "n bigint").schema
-    kept = tables.read_recent(spark, [str(tmp_path / "a")], schema, 12)
-    assert {r["n"] for r in rows(kept)} >= {1, 3}
+    since = datetime.fromtimestamp(1002, timezone.utc)
+    kept = tables.read_recent(spark, [str(tmp_path), str(tmp_path / "absent")], schema, since)
+    assert {r["n"] for r in rows(kept)} == {2, 3, 99}
+    assert tables.read_recent(spark, [str(tmp_path / "absent")], schema, since).isEmpty()
     files = tables.list_files(spark, [str(tmp_path)], max_depth=2).select(F.lit("t").alias("table"), "modified", "size")
     fresh = rows(table_freshness(files, F.lit(1100)))[0]
     assert (fresh["status"], fresh["lag_seconds"], fresh["human_lag"]) == ("ok", 97.0, "1m 37s")
 
 
-def test_gold_window_prunes_days(spark, sf, tmp_path):
-    gold = inputs.gold_rows(spark, sf)
-    writers.write_gold(gold, str(tmp_path / "gold"), 0)
-    window = tables.read_gold_window(spark, str(tmp_path / "gold"), 180)
+def test_gold_window_lists_only_its_hours(spark, sf, tmp_path):
+    gold, path = inputs.gold_rows(spark, sf), str(tmp_path / "gold")
+    writers.write_gold(gold, path, 0)
     newest = gold.agg(F.max("event_timestamp").alias("m")).first()["m"]
+    window = tables.read_gold_window(spark, path, 180, newest)
     want = gold.where(F.col("event_timestamp") >= F.lit(newest) - F.expr("interval 180 minutes")).count()
     assert window.count() == want > 0
-    plan = window._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    files = len(window.inputFiles())
+    # A hundred batches of the days before add no file to the window.
+    old = gold.limit(3).withColumn("event_timestamp", F.col("event_timestamp") - F.expr("interval 5 days"))
+    rows_of_many = old.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(100)))).withColumns({
+        "dt": F.date_format("event_timestamp", "yyyyMMdd"), "hour": F.date_format("event_timestamp", "HH"), "batch_id": F.col("b")}).drop("b")
+    rows_of_many.write.mode("append").partitionBy("dt", "hour", "batch_id").parquet(path)
+    again = tables.read_gold_window(spark, path, 180, newest)
+    assert len(again.inputFiles()) == files and again.count() == want
+    assert tables.read_gold_window(spark, str(tmp_path / "none"), 180, newest).isEmpty()
+    assert tables.read_gold_window(spark, path, 180, None).count() == gold.count() + 300
+
+
+def test_null_texts_of_clean_csv(spark, tmp_path):
+    (tmp_path / "clean.csv").write_text(
+        "road_name,all_motor_vehicle_count,hour_of_day,observation_date,start_junction_road_name,extra\n"
+        "A1,5,7,2020-01-02,NA,<NA>\nNULL,N/A,8,2020-01-02,Nan,x\n")
+    got = rows(read_clean_counts(spark, str(tmp_path / "clean.csv"), form="csv"), "hour_of_day")
+    assert [(r["road_name"], r["all_motor_vehicle_count"], r["start_junction_road_name"], r["extra"]) for r in got] == [
+        ("A1", 5.0, None, None), (None, None, "Nan", "x")]
+
+
+def test_file_order_is_the_order_of_the_lines(spark, tmp_path):
+    lines = [f"row {i:06d} {'x' * (i % 50)}" for i in range(40_000)]
+    (tmp_path / "b.csv").write_text("text\n" + "\n".join(lines[20_000:]) + "\n")
+    (tmp_path / "a.csv").write_text("text\n" + "\n".join(lines[:20_000]) + "\n")
+    got = with_file_order(spark.read.option("header", True).csv(str(tmp_path))).repartition(5).orderBy("record_ord").collect()
+    assert [r["text"] for r in got] == lines
+
+
+def test_profiles_need_an_order(spark, tmp_path):
+    spark.createDataFrame([("A1", 1.0, 7, "2020-01-01")], "road_name string, all_motor_vehicle_count double, hour_of_day int, observation_date string") \
+        .write.parquet(str(tmp_path / "clean"))
+    with pytest.raises(MissingColumns, match="record_ord"):
+        build_profiles(spark, str(tmp_path / "clean"), str(tmp_path / "out"))
+
+
+def test_index_lists_both_names_of_an_id(spark, built):
+    index = rows(read_profile(spark, str(built / "profiles"), "road_index").where("id = 'road:a-7'"), "road_name")
+    assert [r["road_name"] for r in index] == ["A 7", "A-7"]
+    assert rows(read_profile(spark, str(built / "profiles"), "road_profile").where("road_id = 'road:a-7'"))[0]["road_name"] == "A-7"

@@ -24,9 +24,47 @@ def test_plan(spark, sf, name):
         assert window, plan
 
 
-def test_gold_shuffles_twice(spark, sf):
+def test_gold_spreads_one_region_and_minute(spark, sf):
+    from pyspark.sql import functions as F
+
+    from roadpulse.operators import gold
+    from roadpulse.plans import inputs
+
     plan = plan_of(queries()["gold_all"](spark, sf))
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert len(exchanges) == 3 and sum("road_key" in e for e in exchanges) == 3
+    # All events in one region and minute: the middle exchange fills more than one task.
+    one = inputs.events(spark, sf).withColumns({"region_name": F.lit("R"), "minute": F.lit("2024-01-01").cast("timestamp")})
+    moved = gold._road_partials(one, ()).repartition(8, "region_name", "road_key", "minute")
+    assert moved.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_scans_compile_to_methods_the_jvm_takes(spark, sf):
+    """No stage method beyond the limit above which the JVM interprets it."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    for name in ("clean_counts", "segment_catalogue", "normalise_events", "gold_all"):
+        df = queries()[name](spark, sf)
+        for line in spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(
+                df._jdf.queryExecution().executedPlan()).splitlines():
+            if found := re.search(r"maxMethodCodeSize:(\d+)", line):
+                # Larger ones are not compiled as one stage: their operators run apart.
+                assert int(found[1]) < 64000
+
+
+def test_no_null_join_keys_in_scoring(spark, sf):
+    plan = queries()["predict"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+
+
+def test_latest_per_road_sorts_no_wide_rows(spark, sf, tmp_path):
+    from roadpulse.operators.analytics import latest_per_road
+    from roadpulse.plans import inputs
+
+    inputs.live(spark, sf).limit(20).write.parquet(str(tmp_path / "gold"))
+    plan = plan_of(latest_per_road(spark.read.parquet(str(tmp_path / "gold"))))
+    # The only sort aggregate (its two halves) works on the rows that a semi join has left.
+    parts = plan.split("SortAggregate")
+    assert len(parts) == 3 and "LeftSemi" in parts[-1]
 
 
 def test_scans_read_only_what_they_need(spark, sf):

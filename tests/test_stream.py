@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -16,7 +17,7 @@ from roadpulse.sinks import writers
 from roadpulse.sources import driver_tables as src
 from roadpulse.sources import streams
 from roadpulse.sources.tables import table_or_empty
-from roadpulse.streaming import merged, state
+from roadpulse.streaming import maintenance, medallion, merged, state
 from roadpulse.streaming.medallion import Layout, process_batch, run_medallion
 
 ADDITIVE = ["total_vehicles", "event_count", "heavy_vehicles"]
@@ -118,19 +119,90 @@ def test_state_is_empty_before_the_first_batch(spark, tmp_path):
         assert state.read_state(spark, str(tmp_path / "none"), name).isEmpty()
 
 
-def test_failover_takes_over_and_flags_rows(spark, tmp_path):
-    blocked = tmp_path / "blocked"
-    blocked.mkdir()
-    for table in ("silver", "gold"):
-        (blocked / table).write_text("a file where the table's folder should be")
-    layout = Layout(str(blocked), failover=str(tmp_path / "spare"))
-    batch = spark.createDataFrame([("t", 0, 0, T0, json.dumps(event(1, 0)))], RAW_EVENT)
-    process_batch(batch, 0, layout)
+def batch_of(spark, *events, start=0):
+    return spark.createDataFrame([("t", 0, start + n, T0, e if isinstance(e, str) else json.dumps(e)) for n, e in enumerate(events)], RAW_EVENT)
+
+
+def vehicles(frame, role="primary"):
+    return gold.merge_gold_partials(frame).where(F.col("role") == role).agg(F.sum("total_vehicles")).first()[0]
+
+
+@pytest.mark.parametrize("blocked", ["all", "gold", "run_log"])
+def test_a_batch_fails_over_as_a_whole(spark, tmp_path, blocked):
+    """The root, or one table of it, cannot be written: every table goes to the spare root."""
+    root = tmp_path / "root"
+    if blocked == "all":
+        root.write_text("a file where the root should be")
+    else:
+        root.mkdir()
+        (root / blocked).write_text("a file where the table's folder should be")
+    layout = Layout(str(root), failover=str(tmp_path / "spare"))
+    process_batch(batch_of(spark, event(1, 0), "not json"), 0, layout)
     spare = spark.read.parquet(str(tmp_path / "spare" / "gold"))
-    assert spare.count() == 3
-    assert spare.where("writer_failover_active").count() == 3
-    log = rows(spark.read.parquet(layout.path("run_log")))[0]
-    assert log["writer_failover_active"] and log["gold_records"] == 3
+    assert spare.count() == spare.where("writer_failover_active").count() == 3
+    assert spark.read.parquet(str(tmp_path / "spare" / "dead_letters")).count() == 1
+    # The root is back: what the batch left there before it failed does not count a second time.
+    (root if blocked == "all" else root / blocked).unlink()
+    log = rows(medallion.run_log(spark, layout))
+    assert [(r["batch_id"], r["gold_records"], r["total_events"], r["writer_failover_active"], r["source_root"]) for r in log] == [(0, 3, 1, True, 1)]
+    assert vehicles(medallion.read_gold(spark, layout)) == 10
+    states = [f"{r}/state" for r in layout.roots]
+    assert rows(state.read_state(spark, states, "directions"))[0]["count"] == 10
+
+
+def test_roots_share_a_minute_and_a_retry_counts_once(spark, tmp_path):
+    root, away = tmp_path / "root", tmp_path / "away"
+    layout = Layout(str(root), failover=str(tmp_path / "spare"))
+    process_batch(batch_of(spark, event(1, 0, count=10)), 1, layout)
+    root.rename(away)
+    root.write_text("down")
+    second = batch_of(spark, event(2, 0, count=7), start=1)
+    process_batch(second, 2, layout)  # the same minute, on the other root
+    root.unlink()
+    away.rename(root)
+    assert vehicles(medallion.read_gold(spark, layout)) == 17
+    assert medallion.newest_event(spark, layout) is not None
+    process_batch(second, 2, layout)  # a retry that reaches the first root
+    assert vehicles(medallion.read_gold(spark, layout)) == 17
+    assert sorted((r["batch_id"], r["source_root"]) for r in rows(medallion.run_log(spark, layout))) == [(1, 0), (2, 0)]
+    counts = state.read_state(spark, [f"{r}/state" for r in layout.roots], "directions")
+    assert rows(counts)[0]["count"] == 17
+
+
+def test_maintenance_changes_no_result(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"))
+    for i in range(6):
+        process_batch(batch_of(spark, event(2 * i, 20 * i, count=3), event(2 * i + 1, 20 * i, road="r2", count=4), start=2 * i), i, layout)
+
+    def picture():
+        merged_rows = gold.merge_gold_partials(medallion.read_gold(spark, layout))
+        cols = ["role", "region_name", "local_authority_name", "road_id", "road_name", "event_timestamp", *ADDITIVE, "total_link_length_km"]
+        return sorted(map(str, merged_rows.select(*cols).collect())), sorted(
+            (r["road_id"], str(r["hour"]), r["count"], round(r["mean"], 9)) for r in rows(state.read_state(spark, layout.path("state"), "stats"))), sorted(
+            (r["batch_id"], r["gold_records"]) for r in rows(medallion.run_log(spark, layout)))
+
+    before = picture()
+    maintenance.maintain(spark, layout)
+    assert picture() == before
+    folded = spark.read.parquet(layout.path("gold_folded"))
+    assert folded.count() == folded.select("role", "region_name", "local_authority_name", "road_id", "event_timestamp").distinct().count() > 0
+    # The partial rows of the folded hour are gone, and so are the folded deltas.
+    assert not list((tmp_path / "out" / "gold" / "dt=20240101" / "hour=10").glob("batch_id=*"))
+    assert not list((tmp_path / "out" / "state" / "stats" / "delta").glob("batch_id=*"))
+    # A late event of a folded hour still counts, before and after the next fold.
+    process_batch(batch_of(spark, event(90, 5, count=100), start=90), 6, layout)
+    assert vehicles(medallion.read_gold(spark, layout)) == 6 * 7 + 100
+    after = picture()
+    maintenance.maintain(spark, layout)
+    assert picture() == after
+    maintenance.maintain(spark, layout)
+    assert picture() == after
+    window = medallion.read_gold(spark, layout, minutes=15)
+    assert gold.merge_gold_partials(window).where("role = 'road'").count() == 2
+    # Old days go.
+    process_batch(batch_of(spark, event(91, 60 * 24 * 40), start=91), 7, layout)
+    maintenance.maintain(spark, layout, keep_days=30)
+    assert vehicles(medallion.read_gold(spark, layout)) == 10
 
 
 def test_failover_without_a_spare_raises():
@@ -196,7 +268,7 @@ def test_replay_drops_repeated_ids(spark, tmp_path):
     (spool / "b.json").write_text(json.dumps(event(7, 0)))
     both = streams.with_replay(
         streams.landed_events(spark, str(tmp_path / "in")),
-        streams.spooled_events(spark, str(spool), str(tmp_path / "archive")), within="3650 days",
+        streams.spooled_events(spark, str(spool), str(tmp_path / "archive")),
     )
     query = (
         both.writeStream.format("memory").queryName("replayed").trigger(availableNow=True)
@@ -208,6 +280,56 @@ def test_replay_drops_repeated_ids(spark, tmp_path):
     assert spark.table("replayed").count() == 4
 
 
+def test_replay_after_an_outage_of_any_length(spark, tmp_path):
+    """Live rows are read first, the spooled ones are hours and days older: none is late."""
+    spool = tmp_path / "spool"
+    spool.mkdir()
+
+    def replay():
+        both = streams.with_replay(
+            streams.landed_events(spark, str(tmp_path / "in")),
+            streams.spooled_events(spark, str(spool), str(tmp_path / "archive")),
+        )
+        both.writeStream.format("parquet").option("path", str(tmp_path / "read")).trigger(availableNow=True).option(
+            "checkpointLocation", str(tmp_path / "ck")).start().awaitTermination()
+        return spark.read.schema(RAW_EVENT).parquet(str(tmp_path / "read"))
+
+    now = datetime.now(timezone.utc)
+    live = [("traffic.raw.x", 0, n, now, json.dumps(event(n, 0))) for n in range(2)]
+    spark.createDataFrame(live[:1], RAW_EVENT).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    assert replay().count() == 1
+    for n, age in enumerate((3 * 3600, 3 * 86400, 8 * 86400)):
+        for twin in "ab":  # two files of one time
+            file = spool / f"{n}{twin}.json"
+            file.write_text(json.dumps(event(f"s{n}{twin}", 0)))
+            os.utime(file, (now.timestamp() - age,) * 2)
+    spark.createDataFrame(live[1:], RAW_EVENT).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    got = replay().cache()
+    assert got.count() == 8
+    events = parse_events(got).select("event_id", "arrival").orderBy("arrival").collect()
+    ids = [r["event_id"] for r in events]
+    # Live rows first, then the spooled ones from the oldest file on, each with a number of its own.
+    assert [i[:3] for i in ids] == ["e0", "e1", "es2", "es2", "es1", "es1", "es0", "es0"]
+    assert len({r["arrival"] for r in events}) == 8
+
+
+def test_merged_gold_is_stored_at_all_levels(spark, sf, tmp_path):
+    raw = src.raw_events(spark, sf)
+    raw.coalesce(1).write.json(str(tmp_path / "in"))
+    land(spark, tmp_path / "in", [event("z", 60 * 24 * 30)], start=10**6)
+    events = parse_events(streams.landed_events(spark, str(tmp_path / "in"), max_files=1))
+    for query in merged.run_gold_merged(events, str(tmp_path / "merged"), str(tmp_path / "ck"), watermark="2 days", available_now=True):
+        query.awaitTermination()
+    stored = parse_events(spark.read.schema(RAW_EVENT).json(str(tmp_path / "in")))
+    bounded = F.col("event_timestamp") < "2024-01-20"
+    for role, whole, keys in (
+        ("primary", gold.gold_region(stored), ["region_name"]),
+        ("road", gold.gold_road(stored).withColumnRenamed("road_id", "road_key"), ["region_name", "local_authority_name", "road_key"]),
+    ):
+        cols = [*keys, "event_timestamp", *ADDITIVE, F.round("total_link_length_km", 6).alias("len")]
+        same(spark.read.parquet(str(tmp_path / "merged" / role)).where(bounded).select(*cols), whole.where(bounded).select(*cols))
+
+
 def test_fan_out_writes_every_sink(spark, tmp_path):
     df = spark.range(5)
     writers.fan_out(df, [
