@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import LOWER, UPPER, clean_name, hashed_below, in_slices, stored, with_column_type
@@ -25,13 +25,17 @@ from roadpulse.llm.common import LOWER, UPPER, clean_name, hashed_below, in_slic
 SAMPLE_PER_CLASS = 6000
 WINDOW_UNITS = 64
 STEM = 5
-LEVEL = 3
+# A level that looks up every dictionary position: below it, hash slots taken by the one content or the
+# other change which ordinary matches are found, and the gains are noisy.
+LEVEL = 5
 COMMON_WORDS = 4096
 TOXIC_WORDS = 8192
 # A unit tells toxic texts if its use there is this surprising (log-likelihood ratio) and this much more frequent.
 LEAST_SURPRISE, LEAST_RATIO = 25.0, 8.0
 PREDICTED_FROM = 0.7
-RIDGE = 0.02
+RIDGE = 0.002
+# A matched unit saves its eight bytes less a reference of up to four.
+UNIT_GAIN = 4
 SLICE_BYTES = 8 << 20
 _MARKS = ".,;:!?\"()*#&%$|"
 _PLAIN = bytes.maketrans((UPPER + _MARKS).encode(), (LOWER + " " * len(_MARKS)).encode())
@@ -43,7 +47,7 @@ class Model:
 
     ordinary: bytes
     toxic: bytes
-    weights: tuple[float, float, float]
+    weights: tuple[float, ...]
 
 
 def units(text: str | None) -> list[bytes]:
@@ -62,12 +66,14 @@ class Gains:
 
     def __init__(self, model: Model):
         import zstandard as z
+        from xxhash import xxh3_64_digest
 
         plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.compress = []
-        for content in (model.ordinary, model.toxic + model.ordinary):
-            # An empty dictionary is not allowed; eight zeros match no word code in practice.
-            held = z.ZstdCompressionDict(content or bytes(8), dict_type=z.DICT_TYPE_RAWCONTENT)
+        # Codes of no word, so that both dictionaries have one size and zstandard's tables are alike.
+        filler = b"".join(xxh3_64_digest(b"\0no word %d" % n) for n in range(max(1, len(model.toxic) // 8)))
+        for content in (filler, model.toxic or filler):
+            held = z.ZstdCompressionDict(content + model.ordinary, dict_type=z.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=LEVEL)
             self.compress.append(z.ZstdCompressor(level=LEVEL, dict_data=held, **plain).compress)
 
@@ -87,21 +93,22 @@ class Gains:
 
 
 def _features(gains: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(gains)), np.minimum(gains[:, 0], 12) / 4, np.log1p(gains[:, 1])], axis=1)
+    """A constant, whether a window gains as much as a unit saves, the largest gain, and the sum."""
+    return np.stack([np.ones(len(gains)), gains[:, 0] >= UNIT_GAIN, np.minimum(gains[:, 0], 12) / 4, np.log1p(gains[:, 1])], axis=1)
 
 
 def _score(model: Model, gains: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(_features(gains) @ np.array(model.weights), -30, 30)))
 
 
-def _calibrated(gains: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float, float, float]:
+def _calibrated(gains: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float, ...]:
     """Logistic curve by Newton steps, the classes weighted to their share among all labels."""
     if len(toxic) == 0 or toxic.min() == toxic.max():
         odds = np.clip(share, 1e-4, 1 - 1e-4)
-        return (float(np.log(odds / (1 - odds))), 0.0, 0.0)
+        return (float(np.log(odds / (1 - odds))), 0.0, 0.0, 0.0)
     x = _features(gains)
     weight = np.where(toxic == 1, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
-    w, ridge = np.zeros(3), np.diag([1e-6, RIDGE, RIDGE])
+    w, ridge = np.zeros(4), np.diag([1e-6, RIDGE, RIDGE, RIDGE])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x / len(x) + ridge,
@@ -139,9 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out) -> Model:
 
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
-    order = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = usable.withColumn("place", order).where(F.col("place") <= SAMPLE_PER_CLASS).select(
-        F.col("doc_id").alias("id"), "toxic", (F.col("place") % 3 == 0).alias("for_curve"))
+    # The first of each class by hash: a top-k, which no task sorts a whole class for.
+    first = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_CLASS) for k in (0, 1)]
+    chosen = first[0].unionByName(first[1]).select(
+        F.col("doc_id").alias("id"), "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0).alias("for_curve"))
     toxic_share = usable.agg(F.avg("toxic")).first()[0] or 0.0
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")), "toxicity-sample")
     uses = stored(_contexts(sample.where("not for_curve")), "toxicity-words")
@@ -158,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out) -> Model:
     common = [r.word for r in uses.where("o > 0").orderBy(F.desc("o"), "word").limit(COMMON_WORDS).collect()]
     # Frequent words last: near matches are the cheapest.
     packed = [b"".join(xxh3_64_digest(bytes(w)) for w in reversed(ws)) for ws in ([w for w in common if w not in set(toxic)], toxic)]
-    plain = Model(packed[0], packed[1], (0.0, 0.0, 0.0))
+    plain = Model(packed[0], packed[1], (0.0, 0.0, 0.0, 0.0))
     rows = _gains(sample.where("for_curve").select("text", "toxic"), plain).select("toxic", "gains.most", "gains.total").collect()
     found = np.array([(r.most, r.total) for r in rows], float).reshape(-1, 2)
     return Model(*packed, _calibrated(found, np.array([r.toxic for r in rows], float), toxic_share))

@@ -176,8 +176,8 @@ def test_search(spark, block, lists):
 def test_search_small(spark):
     empty = tput_search.scaled(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert tput_search.search(empty, empty).count() == 0
-    two = tput_search.scaled(spark.createDataFrame([(0, [1.0]), (50, [2e15])], "vec_id long, embedding array<double>"))
-    assert [tuple(r) for r in tput_search.search(two, two.where("vec_id = 0")).collect()] == [(0, 1, 50, 256 * 256 * 2 * 10**15)]
+    two = tput_search.scaled(spark.createDataFrame([(0, [1.0]), (50, [2e13])], "vec_id long, embedding array<double>"))
+    assert [tuple(r) for r in tput_search.search(two, two.where("vec_id = 0")).collect()] == [(0, 1, 50, 256 * 256 * 2 * 10**13)]
 
 
 # Pipeline

@@ -115,7 +115,7 @@ def test_line_filters_lose_no_repeat():
     bits = 1 << 16
     rows = []
     for part, own in enumerate(keys):
-        once = np.unique(np.concatenate(line_dedup._positions(np.concatenate([own, shared[part % 25 :: 25]]), bits)))
+        once = np.unique(np.concatenate(line_dedup._positions(np.concatenate([own, shared[part % 20 :: 20]]), bits)))
         rows.append((0, part, line_dedup._packed(once, bits), b""))
     frame = pd.DataFrame(rows, columns=["segment", "part", "once", "twice"])
     merge = line_dedup._merge(bits)
