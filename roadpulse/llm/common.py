@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from roadpulse.session import checkpoint_dir
+from roadpulse.session import checkpoint_dir, configure
 
 # ASCII white space as the contracts define it, and the ASCII letter pairs.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -18,6 +22,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+_shipped: set[str] = set()
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with its settings, and with this package sent to the executors, whose Python
+    tasks import it. Sent once per application, as any job sends its own modules."""
+    context = configure(spark).sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if context.applicationId not in _shipped and package.is_dir():
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="roadpulse-code-"))
+        context.addPyFile(shutil.make_archive(f"{folder}/roadpulse-code", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark only (the path may be in any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -11,8 +11,7 @@ from roadpulse.llm import (
     fm_decontam, hash_mix, histogram_shards, hyper_lang, line_dedup, pigeon_simhash, quality_bayes, token_files,
     tput_search, zstd_toxicity,
 )
-from roadpulse.llm.common import hashed_below, shared_folder, table
-from roadpulse.session import configure
+from roadpulse.llm.common import hashed_below, prepared, shared_folder, table
 
 END_ID = 2
 SHARDS = 40
@@ -93,7 +92,7 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: query(configure(spark), sf_dir)
+    return lambda spark, sf_dir: query(prepared(spark), sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
