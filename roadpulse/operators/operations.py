@@ -62,6 +62,14 @@ def resource_rows(payload: DataFrame) -> DataFrame:
     ).select("ord", "row.*")
 
 
+# Names of the shown metrics in status payloads, best first, and the categories left out.
+MEMORY_NAMES = ("ram usada", "ram", "memoria")
+STORAGE_NAMES = ("almacenamiento", "tamano", "uso")
+STORAGE_FALLBACK = ("uso", "tamano")
+CPU_NAMES = ("cpu", "porcentaje")
+NOT_COMPONENTS = ("storage", "system")
+
+
 def _metric(metrics: Column, names: Sequence[str]) -> Column:
     """The first of ``names`` among the metrics; the last entry of a repeated name wins."""
 
@@ -95,15 +103,13 @@ def component_metrics(rows: DataFrame, order: str = "ord") -> DataFrame:
     named = F.nullif("component", F.lit(""))
     key = F.coalesce(F.concat(F.lit("c"), named), F.concat(F.lit("#"), F.col(order).cast("string")))
     last = rows.groupBy(key.alias("_key")).agg(F.max_by(F.struct(*fields), order).alias("r")).select("r.*")
-    last = last.where(~F.coalesce("category", F.lit("")).isin("storage", "system"))
+    last = last.where(~F.coalesce("category", F.lit("")).isin(*NOT_COMPONENTS))
     m = F.col("metrics")
-    memory = _shown(_metric(m, ("ram usada", "ram", "memoria")))
-    storage = F.coalesce(
-        _shown(_metric(m, ("almacenamiento", "tamano", "uso"))), _shown(_metric(m, ("uso", "tamano")))
-    )
+    memory = _shown(_metric(m, MEMORY_NAMES))
+    storage = F.coalesce(_shown(_metric(m, STORAGE_NAMES)), _shown(_metric(m, STORAGE_FALLBACK)))
     usage = F.col("usage_percent").try_cast("double")
     cpu = F.coalesce(
-        _shown(_metric(m, ("cpu", "porcentaje"))),
+        _shown(_metric(m, CPU_NAMES)),
         F.when(usage.isNotNull() & ~F.isnan(usage), F.concat(one_decimal(usage), F.lit("%"))),
     )
     shown = lambda c: F.coalesce(c, F.lit(NOT_AVAILABLE))

@@ -299,3 +299,15 @@ def test_a_region_without_matches_shares_by_baseline(spark):
 def test_regions_with_one_slug_get_numbers(spark):
     df = spark.createDataFrame([("region:a-b", "A B"), ("region:a-b", "A-B"), ("region:c", "C")], "region_id string, region_name string")
     assert [r["region_slug"] for r in rows(profiles.region_slugs(df), "region_slug")] == ["a-b", "a-b-1", "c"]
+
+
+def test_status_rows_of_sections_come_first(spark):
+    from roadpulse.operators.operations import resource_rows
+
+    row = "struct<component:string,status:string>"
+    payload = spark.createDataFrame(
+        [([[[("a", "ok"), ("b", "late")]], [None]], [("c", "ok")]), (None, None)],
+        f"sections array<struct<rows:array<{row}>>>, rows array<{row}>",
+    )
+    got = [(r["ord"], r["component"], r["status"]) for r in resource_rows(payload).orderBy("ord").collect()]
+    assert got == [(0, "a", "ok"), (1, "b", "late"), (2, "c", "ok")]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators import gold, runtime
 from roadpulse.operators.events import parse_events
-from roadpulse.schemas import RAW_EVENT
+from roadpulse.schemas import RAW_EVENT, STORED_GOLD
 from roadpulse.sinks import writers
 from roadpulse.sources import driver_tables as src
 from roadpulse.sources import streams
@@ -313,6 +313,19 @@ def test_replay_after_an_outage_of_any_length(spark, tmp_path):
     assert len({r["arrival"] for r in events}) == 8
 
 
+def test_gold_stream_reads_every_file_once_and_old_ones_too(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"))
+    process_batch(batch_of(spark, event(1, 0)), 0, layout)
+    for file in (tmp_path / "out" / "gold").rglob("*.parquet"):
+        os.utime(file, (10**9, 10**9))  # years before the next one
+    process_batch(batch_of(spark, event(2, 1), start=1), 1, layout)
+    for _ in range(2):
+        streams.gold_stream(spark, layout.path("gold"), STORED_GOLD).writeStream.format("parquet").option(
+            "path", str(tmp_path / "seen")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.parquet(str(tmp_path / "seen"))
+    assert seen.count() == spark.read.parquet(layout.path("gold")).count() == 6
+
+
 def test_merged_gold_is_stored_at_all_levels(spark, sf, tmp_path):
     raw = src.raw_events(spark, sf)
     raw.coalesce(1).write.json(str(tmp_path / "in"))
