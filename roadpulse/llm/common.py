@@ -16,10 +16,8 @@ from pyspark.sql.types import StructField, StructType
 
 from roadpulse.session import checkpoint_dir, configure
 
-# ASCII white space as the contracts define it, and the ASCII letter pairs.
+# ASCII white space as the contracts define it.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 _shipped: set[str] = set()

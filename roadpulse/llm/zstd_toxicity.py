@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import LOWER, UPPER, clean_name, hashed_below, in_slices, stored, with_column_type
+from roadpulse.llm.common import clean_name, hashed_below, in_slices, stored, with_column_type
 
 # The classifier is fitted on so many labelled documents of each class at most, chosen by a hash
 # of their ids; everything else works on all documents.
@@ -38,7 +38,7 @@ RIDGE = 0.002
 UNIT_GAIN = 4
 SLICE_BYTES = 8 << 20
 _MARKS = ".,;:!?\"()*#&%$|"
-_PLAIN = bytes.maketrans((UPPER + _MARKS).encode(), (LOWER + " " * len(_MARKS)).encode())
+_PLAIN = bytes.maketrans(_MARKS.encode(), b" " * len(_MARKS))
 
 
 @dataclass(frozen=True)
@@ -51,10 +51,10 @@ class Model:
 
 
 def units(text: str | None) -> list[bytes]:
-    """Of every word of a whole text (without marks, A-Z lower-cased): the word, and its stem of
+    """Of every word of a whole text (without marks, lower-cased): the word, and its stem of
     STEM bytes if it is longer, marked as such."""
     found = []
-    for word in (text or "").encode().translate(_PLAIN).split():
+    for word in (text or "").lower().encode().translate(_PLAIN).split():
         found.append(word)
         if len(word) > STEM:
             found.append(word[:STEM] + b"-")
