@@ -203,7 +203,9 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     folder = twice_seen(lines, bits)
     suspects = stored(lines.mapInArrow(_suspects(folder, bits), "doc long, key binary").distinct(), "suspect-lines")
     counts = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= LEAST_DOCUMENTS)
-    gone = suspects.join(counts.select("key", "keeper"), "key").where("doc <> keeper").groupBy("doc").agg(
+    # Stored, so that the join below has plain exchanges and a very common key can be split.
+    often = stored(counts.select("key", "keeper"), "repeated-lines")
+    gone = suspects.join(often, "key").where("doc <> keeper").groupBy("doc").agg(
         F.collect_list("key").alias("dropped"))
     joined = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).join(gone, "doc", "left").select("doc_id", "text", "dropped")
     return joined.mapInArrow(_cut, "doc_id long, n_lines long, n_dropped long, kept string")
