@@ -17,15 +17,16 @@ from roadpulse.schemas import FOLDED_GOLD, STORED_GOLD
 from roadpulse.streaming import state
 from roadpulse.streaming.medallion import FOLDED_LOG, LATE_MINUTES, Layout, newest_event, read_batches, read_folded, run_log
 
-RETENTION_DAYS = 30
 _BY_DAY = ("silver", "gold", "gold_late", "gold_folded")
 _STATE = ("stats", "directions", "meta")
 
 
-def maintain(spark: SparkSession, layout: Layout, *, keep_days: int = RETENTION_DAYS) -> None:
-    """Fold closed hours, the running state and the run log; then remove what the folds replaced
-    and the days older than ``keep_days`` before the newest event."""
-    last = run_log(spark, layout).agg(F.max("batch_id").alias("m")).first()["m"]
+def maintain(spark: SparkSession, layout: Layout, *, keep_days: int | None = None) -> None:
+    """Fold closed hours, the running state and the run log; then remove what the folds replaced.
+    ``keep_days`` also removes the days older than that before the newest event, or before the
+    newest complete batch was read if that is earlier: an event dated after its reading moves
+    nothing. None keeps every day."""
+    last, read_at = run_log(spark, layout).agg(F.max("batch_id"), F.max_by("last_flush_time", "batch_id")).first()
     newest = newest_event(spark, layout)
     if last is None or newest is None:
         return
@@ -34,6 +35,7 @@ def maintain(spark: SparkSession, layout: Layout, *, keep_days: int = RETENTION_
     fold_run_log(spark, layout, last)
 
     files = Files(spark)
+    first_day = None if keep_days is None else _first_day(newest, read_at, keep_days)
     for root in layout.roots:
         for dt, hour in hours:
             files.remove_numbered(f"{root}/gold/dt={dt}/hour={hour}", "batch_id=", last + 1)
@@ -43,11 +45,18 @@ def maintain(spark: SparkSession, layout: Layout, *, keep_days: int = RETENTION_
             files.remove_numbered(f"{root}/state/{name}/snapshot", "upto=", last)
         files.remove_numbered(f"{root}/run_log", "batch_id=", last + 1)
         files.remove_numbered(f"{root}/run_log_folded", "upto=", last)
-        first_day = int((newest.astimezone(timezone.utc) - timedelta(days=keep_days)).strftime("%Y%m%d"))
-        for table in _BY_DAY:
+        for table in _BY_DAY if first_day is not None else ():
             files.remove_numbered(f"{root}/{table}", "dt=", first_day)
 
 
+def _first_day(newest: datetime, read_at: float | None, keep_days: int) -> int | None:
+    """The first day to keep, as yyyymmdd; none where the reading time is not known."""
+    if read_at is None:
+        return None
+    edge = min(newest.astimezone(timezone.utc), datetime.fromtimestamp(read_at, timezone.utc))
+    return int((edge - timedelta(days=keep_days)).strftime("%Y%m%d"))
+
+
 def fold_gold(spark: SparkSession, layout: Layout, before: datetime, upto: int) -> list[tuple[str, str]]:
     """One row per key and minute for the hours that ended before ``before``, of the batches up to
     ``upto``. Only hours with partial rows are touched; their names (dt, hour) come back."""

@@ -205,6 +205,31 @@ def test_maintenance_changes_no_result(spark, tmp_path):
     assert vehicles(medallion.read_gold(spark, layout)) == 10
 
 
+def test_an_event_dated_far_ahead_removes_no_day(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"), failover=str(tmp_path / "spare"))
+    now = (datetime.now(timezone.utc) - T0) // timedelta(minutes=1)
+    process_batch(batch_of(spark, event(1, 0), event(2, now), event(3, now + 60 * 24 * 365 * 50)), 0, layout)
+    process_batch(batch_of(spark, event(4, now), start=3), 1, layout)  # the high-water mark goes on
+
+    def ids():
+        return sorted(json.loads(r["value"])["event_id"] for r in spark.read.parquet(layout.path("silver")).collect())
+
+    maintenance.maintain(spark, layout)
+    assert ids() == ["e1", "e2", "e3", "e4"]
+    # With a limit the days before the reading go, and only those.
+    maintenance.maintain(spark, layout, keep_days=30)
+    assert ids() == ["e2", "e3", "e4"]
+    assert vehicles(medallion.read_gold(spark, layout)) == 30
+
+
+def test_days_stay_unless_a_limit_is_given(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"))
+    process_batch(batch_of(spark, event(1, 0), event(2, 60 * 24 * 40)), 0, layout)
+    maintenance.maintain(spark, layout)
+    assert vehicles(medallion.read_gold(spark, layout)) == 20
+    assert spark.read.parquet(layout.path("silver")).count() == 2
+
+
 def test_failover_without_a_spare_raises():
     def fail(root, flagged):
         raise OSError(root)
