@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import in_slices, stored
+from roadpulse.llm.common import clean_name, in_slices, stored, with_column_type
 from roadpulse.llm.connected import components
 
 BITS = 64
@@ -143,27 +143,49 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Equal fingerprints are linked, so documents are first reduced to distinct fingerprints. Empty
     and null texts have fingerprint 0 and are linked like any other. A null id is kept, but gives
     its component no name (null if all ids of it are null). An empty table gives no rows."""
+    return _rooted(docs, id_column, text_column).select("doc_id", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``near_duplicates`` and the root of each component: two components may have one name where ids repeat."""
     own = stored(fingerprints(docs, id_column, text_column), "fingerprints")
     prints = stored(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     roots = components(linked(prints)).select(F.col("node").alias("fp"), "root")
     rooted = stored(prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = rooted.join(named, "root").select("fp", "component_id")
-    return own.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = rooted.join(named, "root").select("fp", "root", "component_id")
+    return own.join(names, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Of each component only the rows of its smallest document id, with the columns of ``docs``.
-    Rows without an id stay, as no other row can stand for them. Repeats of the kept id go too:
-    one row of each component stays."""
-    found = near_duplicates(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    # The join by name keeps the columns of ``docs``; a null id matches nothing.
-    return own_repeats(docs.join(first, "doc_id", "left_semi")).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
-def own_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document id. Whole rows are shuffled only if some id repeats."""
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return docs
-    return docs.dropDuplicates(["doc_id"])
+    """Of each component only the row of its smallest (document id, fingerprint), with the columns
+    of ``docs``. Rows of one id in different components are judged apart. Of rows that repeat the
+    kept id and fingerprint one stays, chosen by a hash of the text and then by the other columns.
+    Rows without an id stay, as no other row can stand for them."""
+    found = stored(_rooted(docs), "rooted")
+    first = found.where("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("fp").alias("fp"))
+    first = stored(first.select("doc_id", "fp"), "first")
+    again = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    # The joins by name keep the columns of ``docs``; a null id matches nothing.
+    unnamed, ids = docs.where(F.col("doc_id").isNull()), first.select("doc_id").distinct()
+    if again.isEmpty():
+        return docs.join(ids, "doc_id", "left_semi").unionByName(unnamed)
+    once = docs.join(again, "doc_id", "left_anti").join(ids, "doc_id", "left_semi")
+    return once.unionByName(_of_repeated_ids(docs.join(again, "doc_id", "left_semi"), first)).unionByName(unnamed)
+
+
+def _of_repeated_ids(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand in ``first`` (doc_id, fp), one of each."""
+    fp = clean_name(docs.columns, "fp")
+    rank = clean_name(docs.columns, "rank")
+    at = [c.lower() for c in docs.columns].index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_slices(batches, SLICE_BYTES):
+            values = [fingerprint(t) for t in part.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.int64())], names=[*part.schema.names, fp])
+
+    printed = docs.mapInArrow(run, with_column_type(docs.schema, fp, "long"))
+    kept = printed.join(first.withColumnRenamed("fp", fp), ["doc_id", fp], "left_semi")
+    order = Window.partitionBy("doc_id", fp).orderBy(F.xxhash64("text"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

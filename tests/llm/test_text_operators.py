@@ -266,6 +266,16 @@ def test_simhash_odd(spark, odd, none):
     assert pigeon_simhash.near_duplicates(none).count() == 0 and pigeon_simhash.keep_first(none).count() == 0
 
 
+def test_rows_of_one_id_in_different_components(spark):
+    a, b, c = "first of two texts of one id", "another wording that shares nothing", "a third one with quite other words"
+    rows = [(7, a, 1), (7, b, 2), (3, c, 3), (7, c, 4), (9, a, 5), (3, c, 6), (8, a.upper(), 7), (8, a, 8), (10, b, 9), (10, "alone", 10)]
+    # b and a of id 7 are the least of their groups; its c is linked to 3.
+    want = [(3, c, 3), (7, a, 1), (7, b, 2), (10, "alone", 10)]
+    for parts in (1, 4):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, fp int").repartition(parts, "fp")
+        assert sorted(map(tuple, pigeon_simhash.keep_first(frame).collect())) == sorted(want)
+
+
 # Language
 
 
