@@ -115,32 +115,38 @@ def _searched(k: int, queries: np.ndarray, own_ids: np.ndarray, cutoff: np.ndarr
     return task
 
 
-def _once(vectors: DataFrame) -> DataFrame:
-    """One row per id. Only the ids are shuffled unless some repeat."""
+def _once(vectors: DataFrame) -> tuple[DataFrame, bool]:
+    """Without repeats of a whole row, and whether ids still repeat. Only the ids are shuffled unless some do."""
     if vectors.groupBy("vec_id").count().where("count > 1").isEmpty():
-        return vectors
-    return vectors.groupBy("vec_id").agg(F.min("v").alias("v"))
+        return vectors, False
+    return vectors.distinct(), True
 
 
 def search(candidates: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS, block: int = QUERIES_PER_BLOCK) -> DataFrame:
     """The ``k`` best candidates of each query by inner product: query_id, rank (from 1), vec_id,
     score. Both sides have (vec_id, v) as ``scaled`` gives them. A row with the query's own id is
-    no candidate of it. Of rows that repeat an id, the one with the least vector counts. Fewer
-    candidates give fewer rows; an empty side gives none. Shorter vectors count as ending in zeros.
+    no candidate of it. A row that repeats both id and vector counts once; different vectors of one
+    id are all candidates, so an id may stand twice in a result, and the scores of all vectors of
+    a query id are ranked together. Fewer candidates give fewer rows; an empty side gives none.
+    Shorter vectors count as ending in zeros.
 
     Queries go in blocks of at most ``block`` rows, in the order of their ids; each block passes
     the candidates twice, and a task returns at most k rows per query."""
     spark = candidates.sparkSession
-    candidates = stored(_once(candidates), "search-vectors")
-    queries = stored(_once(queries), "search-queries")
+    candidates = stored(_once(candidates)[0], "search-vectors")
+    queries, repeated = _once(queries)
+    queries = stored(queries, "search-queries")
     width = max([r[0] or 0 for r in (candidates.agg(F.max(F.size("v"))).first(), queries.agg(F.max(F.size("v"))).first())])
     results, last = [], None
     while True:
-        rest = queries if last is None else queries.where(F.col("vec_id") > last)
-        rows = rest.orderBy("vec_id").limit(block).collect()  # one block of bounded size
+        rest = queries
+        if last is not None:
+            later = F.col("vec_id") > last.vec_id
+            rest = queries.where(later | (F.col("vec_id") == last.vec_id) & (F.col("v") > F.lit(last.v).cast("array<bigint>")) if repeated else later)
+        rows = rest.orderBy("vec_id", "v").limit(block).collect()  # one block of bounded size
         if not rows or not width:
             break
-        last = rows[-1].vec_id
+        last = rows[-1]
         ids = np.array([r.vec_id for r in rows], np.int64)
         vectors = _matrix(pa.array([r.v for r in rows], pa.list_(pa.int64())), width)
         first = candidates.mapInArrow(_searched(k, vectors, ids, None, lists), _RESULT)
@@ -159,4 +165,6 @@ def search(candidates: DataFrame, queries: DataFrame, k: int = 5, lists: int = L
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)
+    if repeated and len(results) > 1:  # the vectors of an id may stand in two blocks
+        out = out.withColumn("rank", lowest.cast("int")).where(F.col("rank") <= k)
     return out

@@ -180,6 +180,15 @@ def test_search_small(spark):
     assert [tuple(r) for r in tput_search.search(two, two.where("vec_id = 0")).collect()] == [(0, 1, 50, 256 * 256 * 2 * 10**13)]
 
 
+@pytest.mark.parametrize("block", [2048, 1])
+def test_search_different_vectors_of_one_id(spark, block):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [3.0, 1.0]), (1, [1.0, 5.0]), (1, [3.0, 1.0]), (2, [2.0, 2.0])]
+    frame = tput_search.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = tput_search.search(frame, frame.where("vec_id = 0"), 4, block=block).collect()
+    # (0, 2) scores 10, 2 and 4; (1, 0) scores 3, 1 and 2.
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score // 65536) for r in found) == [(0, 1, 1, 10), (0, 2, 2, 4), (0, 3, 1, 3), (0, 4, 1, 2)]
+
+
 # Pipeline
 
 
