@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators import cleaning, profiles
@@ -14,6 +14,7 @@ from roadpulse.sinks.writers import write_clean_counts
 from roadpulse.sources.counts import read_clean_counts, read_raw_counts
 
 ORDER = "record_ord"
+_ROW_BITS = 33
 
 
 def clean_job(spark: SparkSession, source: str, target: str) -> None:
@@ -31,9 +32,19 @@ def with_file_order(rows: DataFrame) -> DataFrame:
     path = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
     place = F.array_position(F.array(*[F.lit(f) for f in files]), path)
     number = F.when(place > 0, place - 1).otherwise(F.raise_error(F.concat(F.lit("not an input file: "), path)).cast("bigint"))
-    block = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.withColumn(ORDER, F.shiftleft(number, 53).bitwiseOR(F.shiftleft(block, 33)).bitwiseOR(row))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return rows.withColumn(ORDER, _block_number(number, F.col("_metadata.file_block_start"), len(files)).bitwiseOR(row))
+
+
+def _block_number(number: Column, start: Column, files: int) -> Column:
+    """File number and block above the bits of the row. ``files`` take the bits they need and blocks
+    the rest of the 30, so one file may have 1 PiB and a million may have 1 GiB each; beyond that it raises."""
+    block_bits = 63 - _ROW_BITS - max(files - 1, 0).bit_length()
+    block = F.shiftright(start, 20)
+    fits = number.between(0, files - 1) & (block < F.lit(1 << max(block_bits, 0)))
+    wrong = F.raise_error(F.concat(F.lit("no order number for file "), number, F.lit(f" of {files}, block "), block))
+    return F.when(fits if block_bits >= 0 else F.lit(False), F.shiftleft(F.shiftleft(number, max(block_bits, 0)).bitwiseOR(block), _ROW_BITS)).otherwise(
+        wrong.cast("bigint"))
 
 
 def build_profiles(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.plans import inputs
 from roadpulse.operators.cleaning import MissingColumns
-from roadpulse.plans.profile_job import build_profiles, clean_job, with_file_order
+from roadpulse.plans.profile_job import _block_number, build_profiles, clean_job, with_file_order
 from roadpulse.plans.scoring_job import score
 from roadpulse.operators.operations import table_freshness
 from roadpulse.sinks import writers
@@ -151,6 +151,26 @@ def test_file_order_is_the_order_of_the_lines(spark, tmp_path):
     assert [r["text"] for r in got] == lines
 
 
+def test_file_order_of_more_files_than_ten_bits_hold(spark, tmp_path):
+    for n in range(1030):
+        (tmp_path / f"f{n:04d}.csv").write_text(f"text\nrow {n:04d}\n")
+    got = with_file_order(spark.read.schema("text string").option("header", True).csv(str(tmp_path))).orderBy("record_ord").collect()
+    assert [r["text"] for r in got] == [f"row {n:04d}" for n in range(1030)]
+
+
+def test_a_block_that_has_no_order_number_raises(spark):
+    def numbers(files, *places):
+        frame = spark.createDataFrame(places, "file bigint, start bigint")
+        return [r[0] for r in frame.select(_block_number(F.col("file"), F.col("start"), files)).collect()]
+
+    tib = 1 << 40
+    assert numbers(1, (0, 5 * tib)) == [5 * tib >> 20 << 33]  # one file beyond 1 TiB
+    found = numbers(1025, (0, tib // 2 - 1), (1, 0), (1024, 0))
+    assert found == sorted(found) and found[0] > 0
+    with pytest.raises(Exception, match="no order number"):
+        numbers(1025, (0, tib // 2))
+
+
 def test_profiles_need_an_order(spark, tmp_path):
     spark.createDataFrame([("A1", 1.0, 7, "2020-01-01")], "road_name string, all_motor_vehicle_count double, hour_of_day int, observation_date string") \
         .write.parquet(str(tmp_path / "clean"))
