@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import (
-    fm_decontam, hash_mix, histogram_shards, hyper_lang, line_dedup, pigeon_simhash, quality_bayes, token_files,
-    tput_search, zstd_toxicity,
+    fm_decontam, hash_mix, histogram_shards, hyper_lang, line_dedup, link_filter, pigeon_simhash, prefix_trie, quality_bayes,
+    token_alignment, token_files, tput_search, zstd_toxicity,
 )
 from roadpulse.llm.common import hashed_below, prepared, shared_folder, table
 
@@ -26,6 +26,13 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    """Where the public sentencepiece model is."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def token_rows(docs: DataFrame) -> DataFrame:
     """Writes the token files of ``docs`` and reads them back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
@@ -91,6 +98,19 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.alignments(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe(), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(prepared(spark), sf_dir)
 
@@ -100,4 +120,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: _configured(q) for q in (
         op1_token_files, op2_quality_bayes, op3_line_dedup, op4_histogram_shards, op5_fm_decontam, op6_hash_mix,
         op7_hyper_lang, op8_tput_search, op9_zstd_toxicity, op10_pigeon_simhash,
+        op11_token_alignment, op12_link_filter, op13_prefix_trie,
     )}

@@ -26,7 +26,7 @@ def test_matches_sql(spark, sf, name):
 
 def test_registered():
     names = list(q.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 14)]
     assert set(oracle_sql()) <= set(names)
 
 
