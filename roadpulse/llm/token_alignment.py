@@ -23,14 +23,20 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import in_slices, stored
 
 # Text of one slice; the distinct pairs of a slice are what the pair shuffle moves.
-SLICE_BYTES = 8 << 20
-# Pieces and characters of pieces in a worker's memory; neither changes a result.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 32 << 20
-JOINED = 200
+SLICE_BYTES = 2 << 20
+# Pieces in a worker's memory; beyond it only those of the slice at hand stay. It changes no result.
+REMEMBERED = 300_000
+# Pieces between two spaces that are encoded in one text, and texts at a time.
+JOINED, PACKS = 200, 50
 SPACE_MARK = "▁"
 
 _UNEVEN = re.compile(r"^\s|\s\s|\s$")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+# Latin letters and then plain marks. A byte-level BPE cuts between them; B is asked at the start.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?#$%&*"
+_WORD_AND_MARKS = re.compile(f"([{_LETTERS}]+)([{re.escape(_MARKS)}]+)")
+_ACROSS = re.compile(f"[{_LETTERS}][{re.escape(_MARKS)}]")
+CARRIER = "a"
 
 _PARTS = (
     "kind int, slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -65,6 +71,7 @@ class Vocabularies:
         for token, n in vocabulary.items():
             self.bytes_a[n] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         self.bytes_b, own = [], {}
+        self.cuts_at_marks = True
         for n in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(n)
             if self.b.is_byte(n):
@@ -73,6 +80,7 @@ class Vocabularies:
             else:
                 if SPACE_MARK in piece.lstrip(SPACE_MARK):
                     raise ValueError(f"a piece spans a space, so texts cannot be cut there: {piece!r}")
+                self.cuts_at_marks &= _ACROSS.search(piece) is None
                 data = piece.replace(SPACE_MARK, " ").encode()
                 if not (self.b.is_control(n) or self.b.is_unknown(n)):
                     own[data] = n  # rather than the byte of that value
@@ -109,6 +117,11 @@ class _Flat:
         return self.values[np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
 
 
+def _is_even(text: str) -> bool:
+    """Whether all white space is single and inside, so that every space is a lone one."""
+    return len(text.split()) == text.count(" ") + text.count("\n") + 1 or _UNEVEN.search(text) is None
+
+
 class Aligner:
     """Remembers the alignment of every piece between lone spaces."""
 
@@ -119,19 +132,71 @@ class Aligner:
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.texts: list[str] = []
-        self.chars = 0
+        self.marks: dict[str, int] = {}
         # Per piece: A ids, B ids, groups, links, links of same-bytes groups, other links, bytes that differ.
         self.sizes = np.empty((0, 7), np.int64)
         self.waiting: list[np.ndarray] = []
         self.same, self.pairs = _Flat(), _Flat()
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _keep(self, pieces: set[str]) -> None:
+        """Forgets all other pieces."""
+        kept = [(p, n) for p in pieces if (n := self.number.get(p)) is not None]
+        at = np.array([n for _, n in kept], np.int64)
+        texts, sizes, same, pairs = self.texts, self.sizes, self.same, self.pairs
+        self._forget()
+        self.number = {p: n for n, (p, _) in enumerate(kept)}
+        self.texts, self.sizes = [texts[n] for _, n in kept], sizes[at]
+        for new, old, column in ((self.same, same, 4), (self.pairs, pairs, 5)):
+            new.add(old.take(at, self.sizes[:, column]), self.sizes[:, column])
+
+    def _settle(self) -> None:
+        self.sizes, self.waiting = np.concatenate([self.sizes, *self.waiting]), []
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Adds pieces. A word with marks after it is put together of the two."""
+        whole, split = [], []
+        for piece in pieces:
+            found = self.v.cuts_at_marks and _WORD_AND_MARKS.fullmatch(piece)
+            (split.append((piece, *found.groups())) if found else whole.append(piece))
+        new_marks = {m for _, _, m in split}.difference(self.marks)
+        carried = [CARRIER, *(CARRIER + m for m in new_marks)] if new_marks else []
+        words = {w for _, w, _ in split}.union(carried).difference(self.number, whole)
+        self._learn_whole([*whole, *words])
+        self._settle()
+        if new_marks:
+            first = self.number[CARRIER]
+            for m in new_marks:
+                # What the carrier has with the marks beyond what it has alone.
+                both = self.number[CARRIER + m]
+                self.marks[m] = len(self.texts)
+                self.texts.append(self.texts[both][len(self.texts[first]) :])
+                sizes = self.sizes[both] - self.sizes[first]
+                self.waiting.append(sizes[None])
+                for flat, column in ((self.same, 4), (self.pairs, 5)):
+                    run = flat.take(np.array([both]), self.sizes[both : both + 1, column])
+                    flat.add(run[len(run) - sizes[column] :], sizes[column : column + 1])
+            self._settle()
+        if split:
+            pairs = np.array([(self.number[w], self.marks[m]) for _, w, m in split], np.int64)
+            for (piece, _, _), (w, m) in zip(split, pairs.tolist(), strict=True):
+                self.number[piece] = len(self.texts)
+                self.texts.append(self.texts[w] + self.texts[m])
+            for flat, column in ((self.same, 4), (self.pairs, 5)):
+                flat.add(flat.take(pairs.ravel(), self.sizes[pairs.ravel(), column]), self.sizes[pairs, column].sum(1))
+            self.waiting.append(self.sizes[pairs].sum(1))
+            self._settle()
+
+    def _learn_whole(self, pieces: list[str]) -> None:
         """Adds pieces; a piece with white space at an end goes alone, the others many at a time
         with a lone space between them, which cuts both tokenizers."""
         alone = [p for p in pieces if p[0].isspace() or p[-1].isspace()]
         apart = set(alone)
         even = [p for p in pieces if p not in apart] if alone else pieces
         packs = [even[n : n + JOINED] for n in range(0, len(even), JOINED)] + [[p] for p in alone]
+        for n in range(0, len(packs), PACKS):
+            self._encode(packs[n : n + PACKS])
+
+    def _encode(self, packs: list[list[str]]) -> None:
         joined = [" ".join(pack) for pack in packs]
         ids_a = [e.ids for e in self.v.a.encode_batch_fast([" " + j for j in joined], add_special_tokens=False)]
         ids_b = self.v.b.encode(joined, num_threads=1)
@@ -198,30 +263,30 @@ class Aligner:
         for piece, stop in zip(pieces, stops, strict=True):
             self.number[piece] = len(self.texts)
             self.texts.append("".join(parts[start:stop]))
-            self.chars += len(piece)
             start = stop
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
         """Per text: the counts of ids, groups and links (zeros without tokens), the text of its
         groups, the A ids of its same-bytes groups, and the codes of its other links."""
-        pieces = [_LONE_SPACE.split(t) if _UNEVEN.search(t) else t.split(" ") for t in texts]
+        pieces = [t.split(" ") if _is_even(t) else _LONE_SPACE.split(t) for t in texts]
         flat = list(chain.from_iterable(pieces))
-        missing = set(flat).difference(self.number)
-        if len(self.number) + len(missing) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self._forget()
-            missing = set(flat)
-        if missing:
-            self._learn(list(missing))
-            self.sizes, self.waiting = np.concatenate([self.sizes, *self.waiting]), []
-        at = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        if len(self.number) > REMEMBERED:
+            self._keep(set(flat))
+        found = list(map(self.number.get, flat))
+        if None in found:
+            gaps = [n for n, number in enumerate(found) if number is None]
+            self._learn({flat[n] for n in gaps})
+            for n in gaps:
+                found[n] = self.number[flat[n]]
+        at = np.array(found, np.int64)
         own = np.array([len(p) for p in pieces], np.int64)
         doc = np.repeat(np.arange(len(texts)), own)
         whole = np.bincount(doc, self.sizes[at, 6], minlength=len(texts)) == 0
         used, doc = at[whole[doc]], doc[whole[doc]]
         counts = [np.bincount(doc, self.sizes[used, n], minlength=len(texts)).astype(np.int64) for n in range(6)]
-        numbers, bounds = at.tolist(), np.cumsum(own).tolist()
+        bounds = np.cumsum(own).tolist()
         groups = [
-            "".join([self.texts[n] for n in numbers[stop - size : stop]])[:-1] if ok else ""
+            "".join([self.texts[n] for n in found[stop - size : stop]])[:-1] if ok else ""
             for size, stop, ok in zip(own.tolist(), bounds, whole.tolist(), strict=True)]
         same, pairs = (
             np.split(flat.take(used, self.sizes[used, n]), np.cumsum(counts[n])[:-1])
