@@ -25,7 +25,7 @@ MIN_OBSERVATIONS = 50
 TOTAL = "all_motor_vehicle_count"
 
 # Statistic name -> (source column, smallest standard deviation of a road profile).
-_ROAD_STATS = {
+ROAD_STATS = {
     "latitude": ("latitude", 0.001),
     "longitude": ("longitude", 0.001),
     "easting": ("british_national_grid_easting", 1.0),
@@ -48,6 +48,13 @@ def region_id(name: Column) -> Column:
 
 def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
     """One row per count point: descriptors, mean location, directions, dates, totals."""
+    numbers = LOCATION_FIELDS + LENGTH_FIELDS
+    return described_segments(counts, order, {
+        **{f"{n}_sum": F.sum(n) for n in numbers}, **{f"{n}_count": F.count(n) for n in numbers}, "_rows": F.count(F.lit(1))})
+
+
+def described_segments(counts: DataFrame, order: str, measures: dict[str, Column]) -> DataFrame:
+    """The catalogue from counts or their cube: ``measures`` are the sums, counts and rows of either."""
     counts = counts.withColumn("count_point_identifier", known_text(F.col("count_point_identifier")))
     counts = counts.where(F.col("count_point_identifier").isNotNull())
     texts = (
@@ -56,18 +63,11 @@ def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
     )
     # Cleaned in a projection of their own, so that each text is trimmed once per row.
     numbers = LOCATION_FIELDS + LENGTH_FIELDS
-    cleaned = counts.select(
-        "count_point_identifier", order, *[known_text(F.col(n)).alias(n) for n in texts],
-        known_text(F.col("travel_direction")).alias("_direction"), *numbers, "observation_date", TOTAL,
-    )
+    cleaned = counts.withColumns({**{n: known_text(F.col(n)) for n in texts}, "_direction": known_text(F.col("travel_direction"))})
     # One pass: texts and measures meet in one aggregate.
     described = first_values(
         cleaned, ["count_point_identifier"], {n: F.col(n) for n in (*texts, "_direction")}, order,
-        measures={
-            **{f"{n}_sum": F.sum(n) for n in numbers}, **{f"{n}_count": F.count(n) for n in numbers},
-            "_from": F.min("observation_date"), "_to": F.max("observation_date"),
-            "_rows": F.count(F.lit(1)), "_total": F.sum(TOTAL),
-        },
+        measures={**measures, "_from": F.min("observation_date"), "_to": F.max("observation_date"), "_total": F.sum(TOTAL)},
         extra={
             "_directions": F.array_sort(F.collect_set("_direction")),
             **{f"_{n}": F.sum(f"{n}_sum") / F.nullif(F.sum(f"{n}_count"), F.lit(0)) for n in numbers},
@@ -89,9 +89,16 @@ def segment_catalogue(counts: DataFrame, order: str = ORDER) -> DataFrame:
 # --- roads ----------------------------------------------------------------------------
 
 
+# Column of a road profile -> column of the counts whose first known text it takes.
+DESCRIPTORS = {
+    "road_type": "road_type", "region_name": "region_name", "local_authority_name": "local_authority_name",
+    "start_junction": "start_junction_road_name", "end_junction": "end_junction_road_name",
+}
+
+
 def road_base_stats(counts: DataFrame, order: str = ORDER, *, extra: Sequence[Column] | None = None) -> DataFrame:
     """Per road: rows, distinct days, first known descriptors, mean and population deviation."""
-    present = {n: s for n, (s, _) in _ROAD_STATS.items() if s in counts.columns}
+    present = {n: s for n, (s, _) in ROAD_STATS.items() if s in counts.columns}
     measured = counts.groupBy("road_name").agg(
         F.count(F.lit(1)).alias("observation_count"),
         F.count_distinct("observation_date").alias("days_observed"),
@@ -99,17 +106,7 @@ def road_base_stats(counts: DataFrame, order: str = ORDER, *, extra: Sequence[Co
         *[F.coalesce(F.stddev_pop(s), F.lit(0.0)).alias(f"{n}_std") for n, s in present.items()],
         *(extra or []),
     )
-    described = first_values(
-        counts, ["road_name"],
-        {
-            "road_type": F.col("road_type"),
-            "region_name": F.col("region_name"),
-            "local_authority_name": F.col("local_authority_name"),
-            "start_junction": F.col("start_junction_road_name"),
-            "end_junction": F.col("end_junction_road_name"),
-        },
-        order,
-    )
+    described = first_values(counts, ["road_name"], {k: F.col(v) for k, v in DESCRIPTORS.items()}, order)
     return measured.join(described, "road_name", "left")
 
 
@@ -170,18 +167,19 @@ def road_profile(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS,
     return one_per_id(profiled_roads(counts, min_observations=min_observations, order=order))
 
 
-def profiled_roads(counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS, order: str = ORDER) -> DataFrame:
+def profiled_roads(
+    counts: DataFrame, *, min_observations: int = MIN_OBSERVATIONS, order: str = ORDER, base: DataFrame | None = None
+) -> DataFrame:
     """One row per road name. Every input is an aggregate by road name, so the joins reuse one
-    partitioning."""
-    classes = [F.coalesce(s, F.lit(0.0)) for s, _, _ in VEHICLE_CLASSES if s in counts.columns]
-    all_classes = F.sum(reduce(add, classes, F.lit(0.0))).alias("all_classes")
-    base = road_base_stats(counts, order, extra=[all_classes]).where(
-        (F.col("observation_count") >= min_observations) & (F.col("all_classes") > 0)
-    )
+    partitioning. ``base`` are the base statistics with ``all_classes`` where they are known already."""
+    if base is None:
+        classes = [F.coalesce(s, F.lit(0.0)) for s, _, _ in VEHICLE_CLASSES if s in counts.columns]
+        base = road_base_stats(counts, order, extra=[F.sum(reduce(add, classes, F.lit(0.0))).alias("all_classes")])
+    base = base.where((F.col("observation_count") >= min_observations) & (F.col("all_classes") > 0))
     rows = base.join(road_baseline(road_hour_profile(counts)), "road_name")
     stats = []
-    for n, (source, least) in _ROAD_STATS.items():
-        if source in counts.columns:
+    for n, (_, least) in ROAD_STATS.items():
+        if f"{n}_mean" in base.columns:
             stats.append(F.coalesce(f"{n}_mean", F.lit(0.0)).alias(f"{n}_mean"))
             stats.append(F.coalesce(F.nullif(f"{n}_std", F.lit(0.0)), F.lit(least)).alias(f"{n}_std"))
     row = rows.select(

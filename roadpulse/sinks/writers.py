@@ -68,8 +68,10 @@ def write_run_log(entry: DataFrame, root: str, batch_id: int) -> None:
     entry.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def write_clean_counts(clean: DataFrame, path: str, *, form: str = "parquet") -> None:
-    writer = clean.write.mode("overwrite")
+def write_clean_counts(clean: DataFrame, path: str, *, form: str = "parquet", by: Sequence[str] = ()) -> None:
+    """``by`` names the columns that become folders; few files each."""
+    writer = (clean.hint("rebalance", *[F.col(c) for c in by]) if by else clean).write.mode("overwrite")
+    writer = writer.partitionBy(*by) if by else writer
     if form == "csv":
         writer.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
     else:

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from roadpulse.schemas import STORED_GOLD
 
+# A longer window than this is read from the whole table instead of naming its hours.
+LISTED_HOURS = 2000
+
 
 def first_available(sources: Sequence[DataFrame]) -> DataFrame:
     """The first source that has any row, else the last. One row of a source tells, so the
@@ -43,7 +46,7 @@ def failover_union(roots: Sequence[DataFrame], batch: str = "batch_id") -> DataF
     return prefer_root(roots, [batch]).drop("source_root")
 
 
-def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A parquet table under a fixed schema, or no rows where it does not exist yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -119,6 +122,9 @@ def read_gold_window(
     if minutes <= 0:
         return table_or_empty(spark, path, schema or STORED_GOLD)
     start = newest - timedelta(minutes=minutes)
+    inside = (F.col("event_timestamp") >= F.lit(start)) & (F.col("event_timestamp") <= F.lit(newest))
+    if minutes > LISTED_HOURS * 60:
+        return table_or_empty(spark, path, schema or STORED_GOLD).where(inside)
     reader = spark.read.schema(schema or STORED_GOLD)
     # Folders are named in UTC, the session's zone.
     first = start.astimezone(timezone.utc).replace(minute=0, second=0, microsecond=0)
@@ -130,4 +136,4 @@ def read_gold_window(
         if "PATH_NOT_FOUND" not in str(missing.getCondition()):
             raise
         return spark.createDataFrame([], schema or STORED_GOLD)
-    return rows.where((F.col("event_timestamp") >= F.lit(start)) & (F.col("event_timestamp") <= F.lit(newest)))
+    return rows.where(inside)

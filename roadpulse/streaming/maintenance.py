@@ -8,6 +8,7 @@ half way changes no result. It may run while the stream job does.
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 from roadpulse.operators.gold import merge_gold_partials
 from roadpulse.schemas import FOLDED_GOLD, STORED_GOLD
 from roadpulse.streaming import state
-from roadpulse.streaming.medallion import FOLDED_LOG, LATE_MINUTES, Layout, newest_event, read_batches, read_folded, run_log
+from roadpulse.streaming.medallion import FOLDED_LOG, Layout, newest_event, read_batches, read_folded, run_log, unfolded
+from roadpulse.streaming.minutes import closed_upto
 
-_BY_DAY = ("silver", "gold", "gold_late", "gold_folded")
+_BY_DAY = ("silver", "gold", "gold_late", "gold_folded", "minutes", "minutes_folded", "event_ids", "id_filters")
 _STATE = ("stats", "directions", "meta")
 
 
@@ -30,16 +32,22 @@ def maintain(spark: SparkSession, layout: Layout, *, keep_days: int | None = Non
     newest = newest_event(spark, layout)
     if last is None or newest is None:
         return
-    hours = fold_gold(spark, layout, newest - timedelta(minutes=LATE_MINUTES), last)
+    folds = {}
+    # What is not closed yet must stay apart until it is.
+    if (edge := closed_upto(spark, layout)) is not None:
+        for into, tables in (("gold_folded", ("gold",)), ("minutes_folded", ("minutes", "gold_late"))):
+            folds[into, tables] = fold_gold(spark, layout, edge, last, tables, into)
     state.compact(spark, [f"{root}/state" for root in layout.roots], last)
     fold_run_log(spark, layout, last)
 
     files = Files(spark)
     first_day = None if keep_days is None else _first_day(newest, read_at, keep_days)
     for root in layout.roots:
-        for dt, hour in hours:
-            files.remove_numbered(f"{root}/gold/dt={dt}/hour={hour}", "batch_id=", last + 1)
-            files.remove_numbered(f"{root}/gold_folded/dt={dt}/hour={hour}", "upto=", last)
+        for (folded, tables), hours in folds.items():
+            for dt, hour in hours:
+                for table in tables:
+                    files.remove_numbered(f"{root}/{table}/dt={dt}/hour={hour}", "batch_id=", last + 1)
+                files.remove_numbered(f"{root}/{folded}/dt={dt}/hour={hour}", "upto=", last)
         for name in _STATE:
             files.remove_numbered(f"{root}/state/{name}/delta", "batch_id=", last + 1)
             files.remove_numbered(f"{root}/state/{name}/snapshot", "upto=", last)
@@ -57,22 +65,24 @@ def _first_day(newest: datetime, read_at: float | None, keep_days: int) -> int |
     return int((edge - timedelta(days=keep_days)).strftime("%Y%m%d"))
 
 
-def fold_gold(spark: SparkSession, layout: Layout, before: datetime, upto: int) -> list[tuple[str, str]]:
+def fold_gold(
+    spark: SparkSession, layout: Layout, before: datetime, upto: int, tables: tuple[str, ...] = ("gold",), into: str = "gold_folded"
+) -> list[tuple[str, str]]:
     """One row per key and minute for the hours that ended before ``before``, of the batches up to
-    ``upto``. Only hours with partial rows are touched; their names (dt, hour) come back."""
+    ``upto``; for ``minutes`` and ``gold_late`` the latest versions. Only hours with partial rows are
+    touched; their names (dt, hour) come back."""
     ended = before.astimezone(timezone.utc).strftime("%Y%m%d%H")
     closed = F.concat("dt", "hour") < F.lit(ended)
-    partial = read_batches(spark, layout, "gold", STORED_GOLD).where(closed & (F.col("batch_id") <= upto))
-    folded = read_folded(spark, layout).where(closed)
-    done = folded.select("dt", "hour", F.col("upto").alias("_upto")).distinct()
-    fresh = partial.join(done, ["dt", "hour"], "left").where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto"))).drop("_upto")
+    partial = reduce(DataFrame.unionByName, [read_batches(spark, layout, t, STORED_GOLD) for t in tables])
+    folded = read_folded(spark, layout, into).where(closed)
+    fresh = unfolded(partial.where(closed & (F.col("batch_id") <= upto)), folded)
     hours = sorted(tuple(r) for r in fresh.select("dt", "hour").distinct().collect())  # one short row per unfolded hour
     if hours:
         wanted = spark.createDataFrame(hours, "dt string, hour string")
         before_fold = folded.join(F.broadcast(wanted), ["dt", "hour"], "left_semi").withColumnRenamed("upto", "batch_id")
         flagged = F.lit(False).alias("writer_failover_active")
         merged = merge_gold_partials(fresh.unionByName(before_fold)).drop("writer_failover_active", "batch_id")
-        _write_folded(merged.select("*", flagged), layout.path("gold_folded"), upto)
+        _write_folded(merged.select("*", flagged), layout.path(into), upto)
     return hours
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,17 +17,23 @@ from roadpulse.operators.events import normalise_events, parsed_payloads, varian
 from roadpulse.schemas import FOLDED_GOLD, RUN_LOG, STORED_GOLD
 from roadpulse.sinks import writers
 from roadpulse.sources.tables import read_gold_window, table_or_empty
-from roadpulse.streaming import state
+from roadpulse.streaming import dedupe, minutes, state
 
 TRIGGER = "20 seconds"
+# A minute is closed when its end lies this long before the newest event.
 LATE_MINUTES = 10
+# An event dated later than its reading, give or take this much, moves the newest event no further.
+AHEAD_MINUTES = 1
 # The newest event time stands in one of so many slots, by batch id; so finding it costs the
 # same after a day and after a year.
 SLOTS = 64
 MARK = T.StructType([
     T.StructField("batch", T.LongType()), T.StructField("newest_event_ts", T.TimestampType()), T.StructField("slot", T.IntegerType()),
 ])
-_LOG = T.StructType([*RUN_LOG.fields, T.StructField("max_event_ts", T.TimestampType())])
+_LOG = T.StructType([
+    *RUN_LOG.fields, T.StructField("max_event_ts", T.TimestampType()), T.StructField("closed_upto", T.TimestampType()),
+    T.StructField("repeated_events", T.LongType()),
+])
 FOLDED_LOG = T.StructType([*_LOG.fields, T.StructField("source_root", T.IntegerType()), T.StructField("upto", T.LongType())])
 
 
@@ -49,43 +55,55 @@ class Layout:
 
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout) -> None:
-    """Everything one micro-batch writes. Running it again with the same id changes nothing."""
+    """Everything one micro-batch writes. Running it again with the same id changes nothing; an event
+    whose id an earlier batch holds counts no second time, whenever that was."""
     # Parsed once; read by the writes below. A lost executor's part is computed again from the source.
     parsed = parsed_payloads(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         events = normalise_events(parsed.where("is_object"), field=variant_fields())
         dead = parsed.where(~F.col("is_object")).select(*batch.columns)
+        hours = dedupe.ids_per_hour(events)
+        gone = dedupe.repeats(events, layout, batch_id, hours).persist(StorageLevel.MEMORY_AND_DISK)
+        repeated = gone.count()
+        if repeated:
+            events = dedupe.without(events, gone)
         # Also before the first write: what fails here is the source, not the root.
-        own = events.agg(F.max("event_ts").alias("newest"), F.count(F.lit(1)).alias("n")).first()
+        read_by = F.lit(datetime.now(timezone.utc) + timedelta(minutes=AHEAD_MINUTES))
+        own = events.agg(F.max(F.least("event_ts", read_by)).alias("newest"), F.count(F.lit(1)).alias("n")).first()
         seen = newest_event(batch.sparkSession, layout, before=batch_id)
 
         def write(root: str, failover: bool) -> None:
-            _write_all(events, dead, batch_id, root, failover, layout.component, own, seen)
+            _write_all(events, dead, batch_id, root, failover, layout, own, seen, hours, repeated)
 
         writers.write_with_failover(write, layout.root, layout.failover)
+        gone.unpersist()
     finally:
         parsed.unpersist()
 
 
-def _write_all(events, dead, batch_id: int, root: str, failover: bool, component: str, own, seen: datetime | None) -> None:
+def _write_all(events, dead, batch_id: int, root: str, failover: bool, layout: Layout, own, seen: datetime | None, hours, repeated: int) -> None:
     """All tables of a batch below one root; the run log comes last and says it is complete."""
     dead.write.mode("overwrite").parquet(f"{root}/dead_letters/batch_id={batch_id}")
     writers.write_silver(events, f"{root}/silver", batch_id)
-    rows = gold_ops.gold_all(events).observe(counted := _counter("gold"), F.count(F.lit(1)).alias("n"))
-    writers.write_gold(rows, f"{root}/gold", batch_id, failover=failover)
-    if seen is not None:
-        # Writes no file where nothing is late.
-        writers.write_gold(gold_ops.gold_all(late_events(events, seen)), f"{root}/gold_late", batch_id, failover=failover)
+    dedupe.write_ids(events, root, batch_id, hours)
+    newest = max((t for t in (own.newest, seen) if t is not None), default=None)
+    rows = gold_ops.gold_all(events).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counted = _counter("gold")
+        writers.write_gold(rows.observe(counted, F.count(F.lit(1)).alias("n")), f"{root}/gold", batch_id, failover=failover)
+        closed = minutes.close(rows, layout, root, batch_id, newest, failover=failover)
+    finally:
+        rows.unpersist()
     state.write_delta(state.batch_state(events), f"{root}/state", batch_id)
 
-    newest = max((t for t in (own.newest, seen) if t is not None), default=None)
     spark = events.sparkSession
     mark = spark.createDataFrame([(batch_id, newest)], T.StructType(MARK.fields[:2]))
     mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/high_water/slot={batch_id % SLOTS}")
     entry = events.agg(F.array_sort(F.collect_set("topic")).alias("topics")).select(
-        F.lit(component).alias("component"), F.lit(time.time()).alias("last_flush_time"),
+        F.lit(layout.component).alias("component"), F.lit(time.time()).alias("last_flush_time"),
         F.lit(own.n).cast("bigint").alias("total_events"), F.lit(counted.get["n"]).cast("bigint").alias("gold_records"),
         "topics", F.lit(failover).alias("writer_failover_active"), F.lit(own.newest).cast("timestamp").alias("max_event_ts"),
+        F.lit(closed).cast("timestamp").alias("closed_upto"), F.lit(repeated).cast("bigint").alias("repeated_events"),
     )
     writers.write_run_log(entry, f"{root}/run_log", batch_id)
 
@@ -98,7 +116,8 @@ def _counter(name: str):
 
 
 def newest_event(spark: SparkSession, layout: Layout, *, before: int | None = None) -> datetime | None:
-    """Newest event time of all batches (of those before one), from at most ``SLOTS`` rows a root."""
+    """Newest event time of all batches (of those before one), from at most ``SLOTS`` rows a root.
+    Event times count up to the reading of their batch, so a clock that is ahead moves nothing."""
     found = []
     for root in layout.roots:
         marks = table_or_empty(spark, f"{root}/high_water", MARK)
@@ -124,22 +143,27 @@ def complete_batches(spark: SparkSession, layout: Layout) -> DataFrame:
     return run_log(spark, layout).select("batch_id", "source_root")
 
 
-def read_batches(spark: SparkSession, layout: Layout, table: str, schema: T.StructType, *, minutes: int = 0) -> DataFrame:
-    """A batch table (gold, gold_late) over all roots: every complete batch once, from the root that
-    completed it. ``minutes`` reads only that long before the newest event, and lists only those hours."""
-    newest = newest_event(spark, layout) if minutes > 0 else None
+def read_batches(
+    spark: SparkSession, layout: Layout, table: str, schema: T.StructType, *, minutes: int = 0,
+    newest: datetime | None = None, before: int | None = None,
+) -> DataFrame:
+    """A batch table (gold, gold_late, minutes) over all roots: every complete batch (before one)
+    once, from the root that completed it. ``minutes`` reads only that long before ``newest`` (the
+    newest event, if not given), and lists only those hours."""
+    newest = newest or newest_event(spark, layout) if minutes > 0 else None
     parts = []
     for n, root in enumerate(layout.roots):
         path = f"{root}/{table}"
         rows = read_gold_window(spark, path, minutes, newest, schema=schema) if minutes > 0 else table_or_empty(spark, path, schema)
         parts.append(rows.withColumn("source_root", F.lit(n)))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = rows if before is None else rows.where(F.col("batch_id") < before)
     return rows.join(complete_batches(spark, layout), ["batch_id", "source_root"], "left_semi").drop("source_root")
 
 
-def read_folded(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> DataFrame:
+def read_folded(spark: SparkSession, layout: Layout, table: str = "gold_folded", *, minutes: int = 0) -> DataFrame:
     """The hours that the maintenance job folded, each in its latest form."""
-    path = layout.path("gold_folded")
+    path = layout.path(table)
     if minutes > 0:
         rows = read_gold_window(spark, path, minutes, newest_event(spark, layout), schema=FOLDED_GOLD)
     else:
@@ -148,23 +172,20 @@ def read_folded(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> Dat
     return rows.join(latest, ["dt", "hour", "upto"], "left_semi")
 
 
+def unfolded(rows: DataFrame, folded: DataFrame) -> DataFrame:
+    """Rows of the batches that the fold of their hour does not hold yet."""
+    upto = folded.select("dt", "hour", F.col("upto").alias("_upto")).distinct()
+    return rows.join(upto, ["dt", "hour"], "left").where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto"))).drop("_upto")
+
+
 def read_gold(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> DataFrame:
     """Gold rows of all batches: folded hours, and the partial rows of the batches after the fold.
     ``gold.merge_gold_partials`` makes one row per key and minute of them."""
     folded = read_folded(spark, layout, minutes=minutes)
-    upto = folded.select("dt", "hour", F.col("upto").alias("_upto")).distinct()
-    rows = read_batches(spark, layout, "gold", STORED_GOLD, minutes=minutes).join(upto, ["dt", "hour"], "left")
-    fresh = rows.where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto"))).drop("_upto")
+    fresh = unfolded(read_batches(spark, layout, "gold", STORED_GOLD, minutes=minutes), folded)
     return fresh.unionByName(folded.withColumnRenamed("upto", "batch_id"))
 
 
-def late_events(events: DataFrame, newest, delay_minutes: int = LATE_MINUTES) -> DataFrame:
-    """Events that the merged gold table, with this watermark delay, no longer takes."""
-    if newest is None:
-        return events.where(F.lit(False))
-    return events.where(F.col("event_ts") < F.lit(newest) - F.make_dt_interval(mins=F.lit(delay_minutes)))
-
-
 def run_medallion(
     source: DataFrame, layout: Layout, checkpoint: str, *, available_now: bool = False, every: str = TRIGGER
 ) -> StreamingQuery:
