@@ -70,10 +70,8 @@ def write_ids(events: DataFrame, root: str, batch_id: int, hours: Mapping[tuple[
     write(placed.groupBy("blocks", "block", "dt", "hour", "batch_id").agg(F.bitmap_construct_agg("place").alias("bits")), "id_filters")
 
 
-def _stored(spark: SparkSession, layout: Layout, table: str, schema: str, hours: list[tuple[str, str]], before: int) -> DataFrame:
-    """Rows of these hours from the complete batches before one; only the folders of the hours are listed."""
-    from roadpulse.streaming.medallion import complete_batches
-
+def _stored(spark: SparkSession, layout: Layout, table: str, schema: str, hours: list[tuple[str, str]], log: DataFrame) -> DataFrame:
+    """Rows of these hours from the batches of the log; only the folders of the hours are listed."""
     found = []
     for n, root in enumerate(layout.roots):
         path = f"{root}/{table}"
@@ -84,28 +82,28 @@ def _stored(spark: SparkSession, layout: Layout, table: str, schema: str, hours:
             if "PATH_NOT_FOUND" not in str(missing.getCondition()):
                 raise
             continue
-        found.append(rows.where(F.col("batch_id") < before).withColumn("source_root", F.lit(n)))
+        found.append(rows.withColumn("source_root", F.lit(n)))
     if not found:
         return spark.createDataFrame([], schema)
     rows = reduce(DataFrame.unionByName, found)
-    return rows.join(complete_batches(spark, layout), ["batch_id", "source_root"], "left_semi").drop("source_root")
+    return rows.join(log, ["batch_id", "source_root"], "left_semi").drop("source_root")
 
 
-def repeats(events: DataFrame, layout: Layout, batch_id: int, hours: Mapping[tuple[str, str], int]) -> DataFrame:
-    """event_id and arrival of the events of a batch that are repeats: of an earlier complete batch,
-    or of an event of this batch that arrived before."""
+def repeats(events: DataFrame, layout: Layout, log: DataFrame, hours: Mapping[tuple[str, str], int]) -> DataFrame:
+    """event_id and arrival of the events of a batch that are repeats: of an earlier batch (those in
+    the run log ``log``), or of an event of this batch that arrived before."""
     spark, own = events.sparkSession, identified(events)
     first = own.groupBy("event_id").agg(F.min("arrival").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = own.join(first, "event_id").where(F.col("arrival") > F.col("first")).select("event_id", "arrival")
-    if not hours or batch_id == 0:
+    if not hours:
         return again
-    filters = _stored(spark, layout, "id_filters", FILTERS, sorted(hours), batch_id)
+    filters = _stored(spark, layout, "id_filters", FILTERS, sorted(hours), log)
     # An hour has few different sizes of filters, one per batch at most.
     sizes = filters.select("dt", "hour", "blocks").distinct()
     asked = own.join(sizes, ["dt", "hour"]).withColumn("block", _block(F.col("blocks")))
     hit = F.forall(_places(), lambda p: _bit(F.col("bits"), p))
     suspects = asked.join(filters.drop("batch_id"), ["dt", "hour", "blocks", "block"]).where(hit).select("event_id", "dt", "hour").distinct()
-    seen = suspects.join(_stored(spark, layout, "event_ids", IDS, sorted(hours), batch_id), ["event_id", "dt", "hour"], "left_semi")
+    seen = suspects.join(_stored(spark, layout, "event_ids", IDS, sorted(hours), log), ["event_id", "dt", "hour"], "left_semi")
     return own.join(seen, ["event_id", "dt", "hour"], "left_semi").select("event_id", "arrival").unionByName(again).distinct()
 
 

@@ -62,8 +62,9 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     try:
         events = normalise_events(parsed.where("is_object"), field=variant_fields())
         dead = parsed.where(~F.col("is_object")).select(*batch.columns)
+        log = run_log(batch.sparkSession, layout).where(F.col("batch_id") < batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         hours = dedupe.ids_per_hour(events)
-        gone = dedupe.repeats(events, layout, batch_id, hours).persist(StorageLevel.MEMORY_AND_DISK)
+        gone = dedupe.repeats(events, layout, log, hours).persist(StorageLevel.MEMORY_AND_DISK)
         repeated = gone.count()
         if repeated:
             events = dedupe.without(events, gone)
@@ -73,15 +74,16 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout) -> None:
         seen = newest_event(batch.sparkSession, layout, before=batch_id)
 
         def write(root: str, failover: bool) -> None:
-            _write_all(events, dead, batch_id, root, failover, layout, own, seen, hours, repeated)
+            _write_all(events, dead, batch_id, root, failover, layout, own, seen, hours, repeated, log)
 
         writers.write_with_failover(write, layout.root, layout.failover)
         gone.unpersist()
+        log.unpersist()
     finally:
         parsed.unpersist()
 
 
-def _write_all(events, dead, batch_id: int, root: str, failover: bool, layout: Layout, own, seen: datetime | None, hours, repeated: int) -> None:
+def _write_all(events, dead, batch_id: int, root: str, failover: bool, layout: Layout, own, seen: datetime | None, hours, repeated: int, log) -> None:
     """All tables of a batch below one root; the run log comes last and says it is complete."""
     dead.write.mode("overwrite").parquet(f"{root}/dead_letters/batch_id={batch_id}")
     writers.write_silver(events, f"{root}/silver", batch_id)
@@ -91,7 +93,7 @@ def _write_all(events, dead, batch_id: int, root: str, failover: bool, layout: L
     try:
         counted = _counter("gold")
         writers.write_gold(rows.observe(counted, F.count(F.lit(1)).alias("n")), f"{root}/gold", batch_id, failover=failover)
-        closed = minutes.close(rows, layout, root, batch_id, newest, failover=failover)
+        closed = minutes.close(rows, layout, root, batch_id, newest, log, failover=failover)
     finally:
         rows.unpersist()
     state.write_delta(state.batch_state(events), f"{root}/state", batch_id)
@@ -145,10 +147,10 @@ def complete_batches(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def read_batches(
     spark: SparkSession, layout: Layout, table: str, schema: T.StructType, *, minutes: int = 0,
-    newest: datetime | None = None, before: int | None = None,
+    newest: datetime | None = None, log: DataFrame | None = None,
 ) -> DataFrame:
-    """A batch table (gold, gold_late, minutes) over all roots: every complete batch (before one)
-    once, from the root that completed it. ``minutes`` reads only that long before ``newest`` (the
+    """A batch table (gold, gold_late, minutes) over all roots: every complete batch (of ``log``, if
+    given) once, from the root that completed it. ``minutes`` reads only that long before ``newest`` (the
     newest event, if not given), and lists only those hours."""
     newest = newest or newest_event(spark, layout) if minutes > 0 else None
     parts = []
@@ -157,8 +159,8 @@ def read_batches(
         rows = read_gold_window(spark, path, minutes, newest, schema=schema) if minutes > 0 else table_or_empty(spark, path, schema)
         parts.append(rows.withColumn("source_root", F.lit(n)))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    rows = rows if before is None else rows.where(F.col("batch_id") < before)
-    return rows.join(complete_batches(spark, layout), ["batch_id", "source_root"], "left_semi").drop("source_root")
+    complete = complete_batches(spark, layout) if log is None else log
+    return rows.join(complete, ["batch_id", "source_root"], "left_semi").drop("source_root")
 
 
 def read_folded(spark: SparkSession, layout: Layout, table: str = "gold_folded", *, minutes: int = 0) -> DataFrame:

@@ -31,11 +31,10 @@ def _jobs():
     return medallion
 
 
-def closed_upto(spark: SparkSession, layout: Layout, *, before: int | None = None) -> datetime | None:
-    """Minutes that end at or before this time are closed (by the batches before one)."""
-    log = _jobs().run_log(spark, layout).where("source_root = 0")
-    log = log if before is None else log.where(F.col("batch_id") < before)
-    return log.agg(F.max("closed_upto")).first()[0]
+def closed_upto(spark: SparkSession, layout: Layout, *, log: DataFrame | None = None) -> datetime | None:
+    """Minutes that end at or before this time are closed (by the batches of ``log``, if given)."""
+    log = _jobs().run_log(spark, layout) if log is None else log
+    return log.where("source_root = 0").agg(F.max("closed_upto")).first()[0]
 
 
 def _ended(edge: datetime | None) -> Column:
@@ -44,15 +43,16 @@ def _ended(edge: datetime | None) -> Column:
 
 
 def close(
-    rows: DataFrame, layout: Layout, root: str, batch_id: int, newest: datetime | None, *, failover: bool = False
+    rows: DataFrame, layout: Layout, root: str, batch_id: int, newest: datetime | None, log: DataFrame, *, failover: bool = False
 ) -> datetime | None:
     """What a batch does to the minutes; returns up to when they are closed now. ``rows`` is its
-    gold, ``newest`` the newest event with it. Reads only batches before it, so a retry writes the same."""
+    gold, ``newest`` the newest event with it, ``log`` the run log of the batches before it: nothing
+    else is read, so a retry writes the same."""
     spark = rows.sparkSession
     if failover:
         writers.write_gold(rows, f"{root}/gold_late", batch_id, failover=True)
         return None
-    before = closed_upto(spark, layout, before=batch_id)
+    before = closed_upto(spark, layout, log=log)
     if before is not None:
         # Writes no file where nothing is late.
         writers.write_gold(rows.where(_ended(before)), f"{root}/gold_late", batch_id)
@@ -66,7 +66,7 @@ def close(
         # Only the hours that have been passed over are listed; none of them is folded yet. Rows of
         # batches in the spare root are in its log.
         span = {} if before is None else {"minutes": int((now - before) / timedelta(minutes=1)) + 2, "newest": now}
-        earlier = _jobs().read_batches(spark, layout, "gold", STORED_GOLD, before=batch_id, **span)
+        earlier = _jobs().read_batches(spark, layout, "gold", STORED_GOLD, log=log, **span)
         closing = closing.unionByName(earlier.where("NOT writer_failover_active").drop("dt", "hour"))
     closing = closing.where(_ended(now) & ~_ended(before))
     writers.write_gold(merge_gold_partials(closing), f"{root}/minutes", batch_id)
