@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -69,6 +70,14 @@ def in_slices(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.
                 yield part
 
 
+_UNEVEN = re.compile(r"^\s|\s\s|\s$")
+
+
+def is_even(text: str) -> bool:
+    """Whether all white space of a text is single and inside, so that every space is a lone one."""
+    return len(text.split()) == text.count(" ") + text.count("\n") + 1 or _UNEVEN.search(text) is None
+
+
 def hashed_below(column: Column, parts: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves ``rest`` on division by ``parts``; false for null."""
     return F.coalesce(F.crc32(column.cast("string")) % parts == rest, F.lit(False))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import in_slices, stored
+from roadpulse.llm.common import in_slices, is_even, stored
 
 # Text of one slice; the distinct pairs of a slice are what the pair shuffle moves.
 SLICE_BYTES = 2 << 20
@@ -30,7 +30,6 @@ REMEMBERED = 300_000
 JOINED, PACKS = 200, 50
 SPACE_MARK = "▁"
 
-_UNEVEN = re.compile(r"^\s|\s\s|\s$")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters and then plain marks. A byte-level BPE cuts between them; B is asked at the start.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?#$%&*"
@@ -117,11 +116,6 @@ class _Flat:
         return self.values[np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
 
 
-def _is_even(text: str) -> bool:
-    """Whether all white space is single and inside, so that every space is a lone one."""
-    return len(text.split()) == text.count(" ") + text.count("\n") + 1 or _UNEVEN.search(text) is None
-
-
 class Aligner:
     """Remembers the alignment of every piece between lone spaces."""
 
@@ -268,7 +262,7 @@ class Aligner:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
         """Per text: the counts of ids, groups and links (zeros without tokens), the text of its
         groups, the A ids of its same-bytes groups, and the codes of its other links."""
-        pieces = [t.split(" ") if _is_even(t) else _LONE_SPACE.split(t) for t in texts]
+        pieces = [t.split(" ") if is_even(t) else _LONE_SPACE.split(t) for t in texts]
         flat = list(chain.from_iterable(pieces))
         if len(self.number) > REMEMBERED:
             self._keep(set(flat))

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,11 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import in_slices
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 # Pieces in one generation of a worker's memory; it changes no result.
 REMEMBERED = 500_000
+# Pieces that are encoded in one text.
+JOINED = 200
 NULL_DOC = -(1 << 63)
 
 MANIFEST = (
@@ -44,6 +47,9 @@ _PARTS = "file_no int, n_docs long, n_tokens long, width int, ids_file string, o
 # A single space between two other characters always starts a new unit of a byte-level
 # tokenizer; next to further white space it may not.
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+# A space at an end of the text or beside other white space; texts without one are cut at every space.
+_WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNEVEN = f"^ | $| [{_WHITE}]|[{_WHITE}] "
 # Latin letters and then plain marks: letters and marks are units of their own.
 _WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?#$%&*]+)")
 
@@ -63,61 +69,93 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # Bytes of each id: every character of a byte-level entry stands for one.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         self.spaced: dict[str, bytes] = {}  # ids of a piece with a space before it
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
-    def _ids(self, pieces: list[str], before: str = "") -> list[bytes]:
-        """The ids of ``before`` + piece for each piece."""
-        encoded = self.tokenizer.encode_batch_fast([before + p for p in pieces], add_special_tokens=False)
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array(self.dtype.char, e.ids).tobytes() for e in encoded]
 
+    def _spaced_ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece after a space. Many pieces are encoded in one text and its ids cut
+        where the bytes of a piece end; a piece that ends in white space would not be cut there."""
+        out = []
+        for start in range(0, len(pieces), JOINED):
+            pack = pieces[start : start + JOINED]
+            (encoded,) = self.tokenizer.encode_batch_fast([" " + " ".join(pack)], add_special_tokens=False)
+            ids = np.array(encoded.ids, self.dtype)
+            ends = np.cumsum([len(p.encode()) + 1 for p in pack])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            if cuts[-1] != len(ids):
+                raise ValueError("a token spans a lone space; texts cannot be cut there")
+            data, width = ids.tobytes(), self.dtype.itemsize
+            bounds = [0, *(cuts * width).tolist()]
+            out += [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return out
+
     def _learn(self, pieces: set[str]) -> None:
-        """Adds pieces that neither start nor end in white space and follow a space."""
-        new, split = [], []
+        """Adds pieces that follow a lone space, so that they start with something else."""
+        new, split, alone = [], [], []
         for p in pieces:
             if (ids := self.old.get(p)) is not None:
                 self.spaced[p] = ids
             elif m := _WORD_AND_MARKS.fullmatch(p):
                 split.append((p, *m.groups()))
             else:
-                new.append(p)
+                (alone if p[-1].isspace() else new).append(p)
         words = {word for _, word, _ in split} - pieces
+        for word in words:
+            if (ids := self.old.get(word)) is not None:
+                self.spaced[word] = ids
         new += [w for w in words if w not in self.spaced]
-        self.spaced.update(zip(new, self._ids(new, " "), strict=True))
+        self.spaced.update(zip(new, self._spaced_ids(new), strict=True))
+        self.spaced.update(zip(alone, self._ids([" " + p for p in alone]), strict=True))
         marks = list({m for _, _, m in split} - self.marks.keys())
         self.marks.update(zip(marks, self._ids(marks), strict=True))
         self.spaced.update((p, self.spaced[word] + self.marks[m]) for p, word, m in split)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of ``dtype``."""
+    def __call__(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each followed by ``end``, and how many ids each
+        has. Every different piece of the texts is looked up once; the rest is done with arrays."""
         if len(self.spaced) > REMEMBERED:
             self.old, self.spaced = self.spaced, {}
         if len(self.marks) > REMEMBERED:
             self.marks.clear()
-        pieces = [t.split(" ") for t in texts]
-        firsts = [p.pop(0) for p in pieces]
-        found = [list(map(self.spaced.get, p)) for p in pieces]
-        holes = [[n for n, ids in enumerate(f) if ids is None] for f in found]
-        missing = {p[n] for p, own in zip(pieces, holes, strict=True) for n in own}
-        # Such pieces are never remembered, so texts with runs of white space always show here.
-        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
-        self._learn(missing - odd)
-        begun, out = self._ids(firsts), []
-        for text, first, own, gaps, ids in zip(texts, begun, pieces, holes, found, strict=True):
-            if odd and any(own[n] in odd for n in gaps):
-                out.append(b"".join(self._ids(_split_at_lone_spaces(text))))
-                continue
-            for n in gaps:
-                ids[n] = self.spaced[own[n]]
-            out.append(first + b"".join(ids))
-        return out
-
-
-def _split_at_lone_spaces(text: str) -> list[str]:
-    """The text in parts of which each but the first starts with a lone space."""
-    first, *rest = _LONE_SPACE.split(text)
-    return [first, *[" " + p for p in rest]]
+        pieces = pc.split_pattern(texts, " ")
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        if pc.any(uneven).as_py():
+            lists = [_LONE_SPACE.split(t.as_py()) if odd else p.as_py() for t, odd, p in zip(texts, uneven.to_pylist(), pieces, strict=True)]
+            pieces = pa.array(lists, pa.list_(pa.string()))
+        coded = pieces.flatten().dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # The first piece of a text has no space before it: a run of its own.
+        bounds = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
+        at = coded.indices.to_numpy().astype(np.int64)
+        firsts = at[bounds[:-1]]
+        at[bounds[:-1]] = len(different) + np.arange(len(texts))
+        used = np.zeros(len(different) + len(texts), bool)
+        used[at] = True
+        found = list(map(self.spaced.get, different))
+        if missing := [n for n, ids in enumerate(found) if ids is None and used[n]]:
+            self._learn({different[n] for n in missing})
+            for n in missing:
+                found[n] = self.spaced[different[n]]
+        runs = [ids or b"" for ids in found]
+        runs += self._ids([different[n] for n in firsts.tolist()])
+        runs.append(end)
+        at = np.insert(at, bounds[1:], len(runs) - 1)
+        data, sizes = np.frombuffer(b"".join(runs), self.dtype), np.fromiter(map(len, runs), np.int64, len(runs)) // self.dtype.itemsize
+        own = sizes[at]
+        stops = np.cumsum(own)
+        starts = (np.cumsum(sizes) - sizes)[at]
+        ids = data[np.repeat(starts - (stops - own), own) + np.arange(stops[-1] if len(stops) else 0)]
+        return ids, np.diff(stops[bounds[1:] + np.arange(len(texts))], prepend=0)
 
 
 def _encoder(path: str) -> PieceEncoder:
@@ -156,10 +194,9 @@ def write_token_files(
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/{names[0]}")
             ids.append(np.asarray(part["doc_id"].fill_null(NULL_DOC), np.int64))
-            for data in encode([text or "" for text in part["text"].to_pylist()]):
-                data += end
-                out.write(data)
-                ends.append(ends[-1] + len(data) // encode.dtype.itemsize)
+            data, counts = encode(part["text"].fill_null(""), end)
+            out.write(data.tobytes())
+            ends += (ends[-1] + np.cumsum(counts)).tolist()
         if out is None:
             return
         out.close()
