@@ -34,3 +34,10 @@ def score(
     out = predict(requests, roads, hours, directions, now_hour=now_hour)
     out = out.withColumn("generated_at", F.current_timestamp())
     return out.join(direction_maps(directions), "road_id", "left") if with_distribution else out
+
+
+def store_predictions(predictions: DataFrame, folder: str) -> None:
+    """Add predictions (region_name, target_ts, generated_at, value, as ``scoring.forecast`` gives
+    them with the time of forecasting) to the table that the error stream reads."""
+    rows = predictions.select("region_name", "target_ts", "generated_at", F.col("value").cast("double").alias("value"))
+    rows.write.mode("append").parquet(folder)
