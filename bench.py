@@ -20,7 +20,7 @@ from roadpulse.session import local_session  # noqa: E402
 HEADLINE = (
     "normalise_events", "gold_region", "gold_authority", "gold_road", "gold_all", "merge_gold_partials",
     "clean_counts", "segment_catalogue", "road_hour_profile", "road_profile", "region_profile", "region_road_share",
-    "minute_totals", "welford_single_batch", "runtime_road_profile", "predict", "expected_road_rate",
+    "minute_totals", "welford_single_batch", "runtime_road_profile", "predict",
     "trailing_window", "window_kpis", "minute_series", "top_roads_by_volume", "latest_per_road", "road_edges",
     "forecast_5min", "worst_prediction", "batch_increment",
 )

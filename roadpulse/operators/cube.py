@@ -8,6 +8,7 @@ their place; those that average or pick texts are here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -26,8 +27,8 @@ KEYS = (
 _MEASURED = LOCATION_FIELDS + LENGTH_FIELDS
 
 
-def count_cube(counts: DataFrame, order: str = ORDER) -> DataFrame:
-    """Prepared counts by ``KEYS``: one hash aggregate with a map-side part, all buffers of fixed width."""
+def count_cube(counts: DataFrame, order: str = ORDER, by: Sequence[str] = ()) -> DataFrame:
+    """Prepared counts by ``KEYS`` and ``by``: one hash aggregate with a map-side part, all buffers of fixed width."""
     measured = [n for n in _MEASURED if n in counts.columns]
     classes = [c for c, _, _ in VEHICLE_CLASSES if c in counts.columns]
     moments = []
@@ -36,7 +37,7 @@ def count_cube(counts: DataFrame, order: str = ORDER) -> DataFrame:
             F.count(n).alias(f"{n}_n"), F.sum(n).alias(f"{n}_sum"), (F.var_pop(n) * F.count(n)).alias(f"{n}_m2"),
             F.min(n).alias(f"{n}_min"), F.max(n).alias(f"{n}_max"),
         ]
-    return counts.groupBy(*KEYS).agg(
+    return counts.groupBy(*KEYS, *by).agg(
         F.count(F.lit(1)).alias("rows"), F.min(order).alias(order), F.sum(TOTAL).alias(TOTAL), *[F.sum(c).alias(c) for c in classes], *moments)
 
 

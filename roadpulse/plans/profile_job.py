@@ -20,11 +20,12 @@ _ROW_BITS = 33
 PARTS = "part string, mark long, version long, run long"
 
 
-def clean_job(spark: SparkSession, source: str, target: str) -> None:
-    """Clean a raw CSV and store it as parquet with an order column, a folder per day."""
+def clean_job(spark: SparkSession, source: str, target: str, *, folders: str = "yyyy-MM-dd") -> None:
+    """Clean a raw CSV and store it as parquet with an order column, a folder (``dt=``) per day or per
+    whatever the date pattern ``folders`` tells apart."""
     raw = read_raw_counts(spark, source)
     clean = cleaning.clean_counts(with_file_order(raw))
-    write_clean_counts(clean.withColumn("dt", F.date_format("observation_date", "yyyy-MM-dd")), target, by=["dt"])
+    write_clean_counts(clean.withColumn("dt", F.date_format("observation_date", folders)), target, by=["dt"])
 
 
 def with_file_order(rows: DataFrame) -> DataFrame:
@@ -77,12 +78,11 @@ def update_cube(spark: SparkSession, clean_path: str, root: str) -> list[str]:
             raise cleaning.MissingColumns(f"{ORDER}: which row comes first is not known")
         if changed != ["all"]:
             folder = F.col("dt").cast("string")
-            clean = clean.where(F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__")).isin([p[1:] for p in changed]))
-            # Every row of a day's folder is of that day.
-            part = F.concat(F.lit("d"), F.date_format("observation_date", "yyyy-MM-dd"))
+            folder = F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__"))
+            clean = clean.where(folder.isin([p[1:] for p in changed])).withColumn("part", F.concat(F.lit("d"), folder))
         else:
-            part = F.lit("all")
-        rows = cube.count_cube(cleaning.prepare_counts(clean)).withColumn("part", part)
+            clean = clean.withColumn("part", F.lit("all"))
+        rows = cube.count_cube(cleaning.prepare_counts(clean), ORDER, ["part"])
         rows.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(f"{root}/cube/version={version}")
     entries = [(p, mark, version if p in changed else known[p][1]) for p, mark in marks.items()]
     spark.createDataFrame(entries, "part string, mark long, version long").coalesce(1).write.mode("overwrite").parquet(f"{root}/cube_parts/run={version}")

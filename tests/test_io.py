@@ -36,7 +36,7 @@ def raw_folder(spark, sf, tmp_path_factory):
 @pytest.fixture(scope="module")
 def built(spark, raw_folder, tmp_path_factory):
     root = tmp_path_factory.mktemp("built")
-    clean_job(spark, str(raw_folder), str(root / "clean"))
+    clean_job(spark, str(raw_folder), str(root / "clean"), folders="yyyy")  # few folders for few rows
     build_profiles(spark, str(root / "clean"), str(root / "profiles"))
     return root
 
