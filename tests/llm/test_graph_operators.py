@@ -284,7 +284,7 @@ def test_prefix_trie_of_nothing(spark):
 def test_contraction_of_a_deep_chain_takes_few_rounds(spark, monkeypatch):
     written = []
     monkeypatch.setattr(prefix_trie, "stored", lambda df, label, keep=prefix_trie.stored: (written.append(label), keep(df, label))[1])
-    n = 3000
+    n = 600
     chain = [(0, d, 0 if d else None, d - 1 if d else None, int(d < n - 1), int(d == n - 1), d) for d in range(n)]
     tree = spark.createDataFrame(chain, "conv_id long, depth long, up_conv_id long, up_depth long, n_children long, n_leaves long, saved long")
     got = {r.depth: (r.n_leaves, r.saved) for r in prefix_trie.subtree_totals(tree).collect()}
