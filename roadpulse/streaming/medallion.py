@@ -189,11 +189,14 @@ def read_gold(spark: SparkSession, layout: Layout, *, minutes: int = 0) -> DataF
 
 
 def run_medallion(
-    source: DataFrame, layout: Layout, checkpoint: str, *, available_now: bool = False, every: str = TRIGGER
+    source: DataFrame, layout: Layout, checkpoint: str, *, available_now: bool = False, every: str = TRIGGER,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Start the job. The checkpoint and the per-batch paths make every event count once."""
+    """Start the job. The checkpoint and the per-batch paths make every event count once. ``name`` is
+    the query's, and what ``progress.ProgressLog`` calls it."""
     writer = source.writeStream.foreachBatch(lambda df, i: process_batch(df, i, layout)).option(
         "checkpointLocation", checkpoint
     )
+    writer = writer.queryName(name) if name else writer
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return writer.trigger(**trigger).start()
