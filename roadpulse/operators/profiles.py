@@ -349,6 +349,37 @@ def region_slices(regions: DataFrame, roads: DataFrame) -> DataFrame:
     )
 
 
+def slice_roads(roads: DataFrame, copies: DataFrame) -> DataFrame:
+    """The roads of every slice: ``copies`` (region_id and the columns of ``roads``) names them. A road
+    takes its row of ``roads``; one that is not there keeps the region's copy."""
+    values = [c for c in roads.columns if c != "road_id"]
+    known = roads.select("road_id", F.struct(*values).alias("_known"))
+    own = copies.select("region_id", "road_id", F.struct(*values).alias("_own"))
+    return own.join(known, "road_id", "left").select(
+        "region_id", "road_id", F.coalesce("_known", "_own").alias("_v")
+    ).select("region_id", "road_id", "_v.*")
+
+
+def slice_index(index: DataFrame, members: DataFrame) -> DataFrame:
+    """The road index rows of every slice; ``members`` holds (region_id, road_id). Of rows that share
+    an id, that of the last name; ids without a row have none."""
+    row = F.struct(*index.columns)
+    last = index.where(strip(F.col("id")) != "").groupBy(strip(F.col("id")).alias("road_id")).agg(F.max_by(row, "road_name").alias("_row"))
+    return members.select("region_id", "road_id").distinct().join(last, "road_id").select("region_id", "_row.*")
+
+
+def slice_meta(meta: DataFrame, regions: DataFrame, members: DataFrame) -> DataFrame:
+    """The meta row of every slice: that of the build (one row), with the slice's own counts and names.
+    A region without an id or without roads has no slice."""
+    counts = members.groupBy("region_id").agg(F.count_distinct("road_id").alias("road_count"))
+    base = meta.select(F.struct(*[c for c in meta.columns if c not in ("region_count", "road_count")]).alias("m")).scalar()
+    return regions.where(strip(F.col("region_id")) != "").select("region_id", "region_name").join(counts, "region_id").select(
+        "region_id", base.alias("m"), F.lit(1).alias("region_count"), "road_count",
+        F.col("region_id").alias("slice_region_id"),
+        strip(F.coalesce(F.nullif("region_name", F.lit("")), "region_id")).alias("slice_region_name"),
+    ).select("region_id", "m.*", "region_count", "road_count", "slice_region_id", "slice_region_name")
+
+
 # --- reading profiles back ------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.operators.profiles import assigned_region, region_slugs
+from roadpulse.operators.profiles import assigned_region, region_slugs, slice_index, slice_meta, slice_roads
 
 TABLES = (
     "segment", "road_name", "road_index", "road_profile", "road_hour", "road_mix", "region_profile", "region_hour", "region_mix", "meta",
@@ -44,27 +44,34 @@ def road_documents(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def export_profiles(spark: SparkSession, root: str, target: str) -> None:
-    """Per-region slices as JSON lines, one folder per region.
+def export_profiles(spark: SparkSession, root: str, target: str, *, copies: DataFrame | None = None) -> None:
+    """Per-region slices as JSON lines, one folder per region that has roads.
 
-    ``regions`` has the region rows with the meta counts of their slice, ``roads`` the
-    nested road rows, ``shares`` the authority and road weights in long form: a region
-    may have any number of those, so they are never gathered into one row.
+    ``regions`` has the region rows, ``meta`` the meta row of each slice, ``roads`` the nested road
+    rows, ``index`` their rows of the road index, ``shares`` the authority and road weights in long
+    form: a region may have any number of those, so they are never gathered into one row.
+    ``copies`` (region_id and the columns of ``road_documents``) are roads as the regions hold them,
+    also such as the profiles do not know; without them, a region has the roads assigned to it.
     """
-    regions = region_slugs(read_profile(spark, root, "region_profile"))
-    names = regions.select("region_slug", "region_id", "region_name")
+    roads = road_documents(spark, root)
+    every = read_profile(spark, root, "region_profile")
+    if copies is None:
+        inside = assigned_region(roads).join(every.select("region_id", "region_name"), "region_name")
+    else:
+        inside = slice_roads(roads, copies)
+    members = inside.select("region_id", "road_id")
+    meta = slice_meta(read_profile(spark, root, "meta"), every, members)
+    regions = region_slugs(every.join(meta.select("region_id"), "region_id", "left_semi"))
+    slugs = regions.select("region_slug", "region_id")
+
+    def store(name: str, rows: DataFrame) -> None:
+        rows.hint("rebalance", F.col("region_slug")).write.mode("overwrite").partitionBy("region_slug").json(f"{target}/{name}")
+
     hour = F.struct("mean_per_minute", "std_per_minute", "observations")
     hours = _map_of(read_profile(spark, root, "region_hour"), "region_name", "hour", hour, "hourly_profile")
-    regions.join(hours, "region_name", "left").withColumn("region_count", F.lit(1)).write.mode(
-        "overwrite"
-    ).partitionBy("region_slug").json(f"{target}/regions")
-    (
-        assigned_region(road_documents(spark, root)).join(names, "region_name")
-        .hint("rebalance", F.col("region_slug"))
-        .write.mode("overwrite").partitionBy("region_slug").json(f"{target}/roads")
-    )
-    (
-        read_profile(spark, root, "region_mix").join(names.drop("region_id"), "region_name")
-        .hint("rebalance", F.col("region_slug"))
-        .write.mode("overwrite").partitionBy("region_slug").json(f"{target}/shares")
-    )
+    store("regions", regions.join(hours, "region_name", "left").withColumn("region_count", F.lit(1)))
+    store("meta", meta.join(slugs, "region_id").drop("region_id"))
+    store("roads", inside.join(slugs, "region_id"))
+    store("index", slice_index(read_profile(spark, root, "road_index"), members).join(slugs, "region_id").drop("region_id"))
+    names = regions.select("region_slug", "region_name")
+    store("shares", read_profile(spark, root, "region_mix").join(names, "region_name"))

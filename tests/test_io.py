@@ -14,6 +14,7 @@ from roadpulse.plans.profile_job import _block_number, build_profiles, clean_job
 from roadpulse.plans.scoring_job import score
 from roadpulse.operators.operations import table_freshness
 from roadpulse.sinks import writers
+from roadpulse.operators import profiles as profile_ops
 from roadpulse.sinks.profiles import export_profiles, read_profile, road_documents
 from roadpulse.sources import driver_tables as src
 from roadpulse.sources import tables
@@ -67,6 +68,29 @@ def test_exports_hold_every_road_once(spark, built, tmp_path):
     exported = spark.read.json(str(tmp_path / "out" / "roads"))
     assert exported.select("road_id").distinct().count() == exported.count() == road_documents(spark, root).count()
     assert spark.read.json(str(tmp_path / "out" / "regions")).count() == 5
+    meta = {r.region_slug: r for r in spark.read.json(str(tmp_path / "out" / "meta")).collect()}
+    sizes = {r.region_slug: r["count"] for r in exported.groupBy("region_slug").count().collect()}
+    assert {s: r.road_count for s, r in meta.items()} == sizes and all(r.region_count == 1 for r in meta.values())
+    assert all(r.slice_region_id == f"region:{s}" and r.source == "spark" and r.generated_at for s, r in meta.items())
+    index = spark.read.json(str(tmp_path / "out" / "index"))
+    both = index.select("region_slug", F.col("id").alias("road_id"))
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, exported.select("region_slug", "road_id").collect()))
+
+
+def test_slices_keep_copies_of_unknown_roads_and_skip_empty_regions(spark):
+    roads = spark.createDataFrame([("r1", "new", 1.0), ("r2", "two", 2.0)], "road_id string, road_name string, rate double")
+    copies = spark.createDataFrame(
+        [("a", "r1", "old", 9.0), ("a", "r9", "own", 3.0), ("b", "r2", None, None)], "region_id string, road_id string, road_name string, rate double")
+    inside = profile_ops.slice_roads(roads, copies)
+    assert sorted(map(tuple, inside.collect())) == [("a", "r1", "new", 1.0), ("a", "r9", "own", 3.0), ("b", "r2", "two", 2.0)]
+    index = spark.createDataFrame([("r1", "x"), (" r1 ", "y"), ("r2", "z"), ("", "none"), (None, "none"), ("r7", "far")], "id string, road_name string")
+    assert sorted(map(tuple, profile_ops.slice_index(index, inside).collect())) == [("a", " r1 ", "y"), ("b", "r2", "z")]
+    regions = spark.createDataFrame([("a", "A "), ("b", ""), ("c", "No roads"), ("", "No id"), (None, "No id")], "region_id string, region_name string")
+    meta = spark.createDataFrame([("spark", 5, 70, 3)], "source string, region_count long, road_count long, segment_count long")
+    got = profile_ops.slice_meta(meta, regions, inside).orderBy("region_id").collect()
+    assert [r.asDict() for r in got] == [
+        {"region_id": "a", "source": "spark", "segment_count": 3, "region_count": 1, "road_count": 2, "slice_region_id": "a", "slice_region_name": "A"},
+        {"region_id": "b", "source": "spark", "segment_count": 3, "region_count": 1, "road_count": 1, "slice_region_id": "b", "slice_region_name": "b"}]
 
 
 def test_scoring_reads_the_first_root_that_exists(spark, sf, built, tmp_path):
