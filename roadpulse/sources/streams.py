@@ -82,6 +82,9 @@ def with_replay(live: DataFrame, spooled: DataFrame, *, within: str = "1 hour")
     )
 
 
-def gold_stream(spark: SparkSession, folder: str, schema, *, form: str = "parquet") -> DataFrame:
+def gold_stream(spark: SparkSession, folder: str, schema, *, form: str = "parquet", max_files: int | None = None) -> DataFrame:
     """New files of a table, each once; the checkpoint remembers which were read."""
-    return spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE).format(form).load(folder)
+    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.format(form).load(folder)
