@@ -101,30 +101,23 @@ def minute_series(
     both count); ``minutes`` keeps only the newest minutes of the result.
     """
     picked = records.where((F.col("role") != "authority") if rows is None else rows)
-    picked = picked.where(F.col(TS).isNotNull())
-    start = None
-    if minutes > 0 and not by:
-        # Older rows never reach the aggregate.
-        newest = minute_bucket(F.max(TS)) - F.make_dt_interval(mins=F.lit(minutes - 1))
-        start = picked.agg(F.greatest(minute_bucket(F.min(TS)), newest).alias("m")).scalar()
-        picked = picked.where(F.col(TS) >= start)
+    # Also what the join below would ask of its right side only, so that both sides stay one exchange.
+    picked = picked.where(F.col(TS).isNotNull() & minute_bucket(F.col(TS)).isNotNull())
     observed = picked.groupBy(*by, minute_bucket(F.col(TS)).alias("minute")).agg(
         F.sum("total_vehicles").cast("double").alias("value")
     )
-    return fill_minutes(observed, by, minutes=minutes, start=start)
+    return fill_minutes(observed, by, minutes=minutes)
 
 
-def fill_minutes(
-    observed: DataFrame, by: Sequence[str] = (), *, minutes: int = 0, start: Column | None = None
-) -> DataFrame:
-    """A calendar of whole days first, minutes second: no single array spans the range. ``start``
-    is its first minute where that is known to lie before the first observed one."""
-    first = F.min("minute") if start is None else F.least(F.min("minute"), start)
+def fill_minutes(observed: DataFrame, by: Sequence[str] = (), *, minutes: int = 0) -> DataFrame:
+    """A calendar of whole days first, minutes second: no single array spans the range."""
+    first = F.min("minute")
     if minutes > 0:
         first = F.greatest(first, F.max("minute") - F.make_dt_interval(mins=F.lit(minutes - 1)))
-    bounds = observed.groupBy(*by).agg(first.alias("_lo"), F.max("minute").alias("_hi"))
+    # The count keeps the value column here too, so that both uses of ``observed`` are one exchange.
+    bounds = observed.groupBy(*by).agg(first.alias("_lo"), F.max("minute").alias("_hi"), F.count("value").alias("_n"))
     day = F.expr("interval 1 day")
-    days = bounds.where(F.col("_lo").isNotNull()).withColumn(
+    days = bounds.where(F.col("_lo").isNotNull() & (F.col("_n") >= 0)).withColumn(
         "_day", F.explode(F.sequence(F.date_trunc("day", "_lo"), F.col("_hi"), day))
     )
     calendar = days.select(

@@ -192,30 +192,37 @@ def merge_gold_partials(gold: DataFrame) -> DataFrame:
         "start_junction_name": "start_junction", "end_junction_name": "end_junction",
     }).withColumn("length_km", F.when(F.col("length_km") > 0, F.col("length_km")))
     keys = ["role", "region_name", "local_authority_name", "road_key", "minute"]
-    order = F.struct("batch_id", *_DESCRIPTORS)
+    g = g.select(*keys, "batch_id", *GOLD_ADDITIVE, *_DESCRIPTORS, "length_km")
+    role, road = F.col("role"), F.col("role") == "road"
+    # Each row is read once: road rows also speak for the lengths of the two levels above them,
+    # where they bring a length and nothing else.
+    levels = F.when(road, F.array(F.lit("primary"), F.lit("authority"), role)).otherwise(F.array(role))
+    g = g.withColumn("level", F.explode(levels)).withColumn("own", role.eqNullSafe(F.col("level")))
+    partials = g.select(
+        F.col("level").alias("role"), "region_name",
+        F.when(F.col("own") | (F.col("level") != "primary"), F.col("local_authority_name")).alias("local_authority_name"),
+        "road_key", "minute", "length_km",
+        *[F.when(F.col("own"), F.col(n)).alias(n) for n in ("batch_id", *GOLD_ADDITIVE, *_DESCRIPTORS)],
+        F.col("own").cast("int").alias("own"),
+    ).groupBy(*keys, *_DESCRIPTORS).agg(  # buffers of fixed width: a hash aggregate with a map-side part
+        *_partial_sums(), F.max("length_km").alias("length_km"), F.max("own").alias("own"),
+        F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch"),
+    )
+    own = F.col("own") == 1
+    first = F.when(own, F.struct("first_batch", *_DESCRIPTORS))
+    last = F.when(own, F.struct("last_batch", *_DESCRIPTORS))
 
     def descriptor(name: str) -> Column:
         value = F.col(name)
-        first = order if name not in _PLACEHOLDERS else F.when(~value.isin(*_PLACEHOLDERS[name]), order)
-        return F.coalesce(F.min_by(value, first), F.max_by(value, order)).alias(name)
+        known = first if name not in _PLACEHOLDERS else F.when(~value.isin(*_PLACEHOLDERS[name]), first)
+        return F.coalesce(F.min_by(value, known), F.max_by(value, last)).alias(name)
 
-    g = g.select(*keys, "batch_id", *GOLD_ADDITIVE, *_DESCRIPTORS, "length_km")
-    road = F.col("role") == "road"
-    # Road rows also speak for the lengths of the two levels above them.
-    lengths = g.where(road).select(
-        F.explode(F.array(F.lit("primary"), F.lit("authority"), F.lit("road"))).alias("role"),
-        "region_name", "local_authority_name", "road_key", "minute", "length_km",
-    ).withColumn(
-        "local_authority_name", F.when(F.col("role") != "primary", F.col("local_authority_name"))
-    ).groupBy(*keys).agg(F.max("length_km").alias("length_km"))
-    lengths = (
-        lengths.withColumn("road_key", F.when(road, F.col("road_key")))
-        .groupBy(*keys).agg(F.sum("length_km").alias("length_km"))
-    )
-    sums = g.groupBy(*keys).agg(*_partial_sums(), *[descriptor(n) for n in _DESCRIPTORS])
-    merged = sums.unionByName(lengths, allowMissingColumns=True).groupBy(*keys).agg(
-        *_partial_sums(),
-        F.sum("length_km").alias("length_km"),
-        *[F.max(n).alias(n) for n in _DESCRIPTORS],
+    merged = partials.withColumn("length_of", F.when(road, F.col("road_key"))).groupBy(
+        "role", "region_name", "local_authority_name", F.col("length_of").alias("road_key"), "minute"
+    ).agg(
+        *_partial_sums(), F.max("own").alias("own"),
+        # A road's length is its longest; those of different roads add up.
+        F.when(road, F.max("length_km")).otherwise(F.sum("length_km")).alias("length_km"),
+        *[descriptor(n) for n in _DESCRIPTORS],
     )
-    return _finish(merged.where(F.col("event_count").isNotNull()), F.col("role"), ())
+    return _finish(merged.where(F.col("own") == 1).drop("own"), role, ())

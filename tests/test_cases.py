@@ -311,3 +311,33 @@ def test_status_rows_of_sections_come_first(spark):
     )
     got = [(r["ord"], r["component"], r["status"]) for r in resource_rows(payload).orderBy("ord").collect()]
     assert got == [(0, "a", "ok"), (1, "b", "late"), (2, "c", "ok")]
+
+
+def test_merged_lengths_come_from_road_rows(spark):
+    """Two batches of one minute: a road that crosses authorities has one length at region level, its
+    longest; authority and region rows without road rows keep none, and descriptors take the first known."""
+    from roadpulse.operators.gold import merge_gold_partials
+    from roadpulse.schemas import GOLD, GOLD_ADDITIVE
+
+    at = datetime(2024, 1, 1, 12)
+
+    def row(role, authority, road, length, batch, name=None):
+        values = {f.name: None for f in GOLD.fields} | {n: 1 for n in GOLD_ADDITIVE}
+        values |= {"role": role, "region_name": "R", "local_authority_name": authority, "road_id": road, "road_name": name,
+                   "event_timestamp": at, "link_length_kilometers": length, "batch_id": batch}
+        return tuple(values[f.name] for f in GOLD.fields)
+
+    given = [
+        row("primary", None, None, None, 0), row("primary", None, None, None, 1), row("authority", "A", None, None, 0),
+        row("authority", "B", None, None, 1), row("road", "A", "r1", 2.0, 0, "Unknown road"), row("road", "A", "r1", 3.0, 1, "M1"),
+        row("road", "B", "r1", 5.0, 1, "M1"), row("road", "A", "r2", 7.0, 0, ""), row("road", "A", "r3", -1.0, 1, None),
+        row("road", "C", "r4", 11.0, 1, "M4"),  # its authority has no row of its own
+    ]
+    got = rows(merge_gold_partials(spark.createDataFrame(given, GOLD)), "role", "local_authority_name", "road_id")
+    seen = [(r["role"], r["local_authority_name"], r["road_id"], r["event_count"], r["total_link_length_km"], r["road_name"]) for r in got]
+    assert seen == [
+        ("authority", "A", None, 1, 10.0, None), ("authority", "B", None, 1, 5.0, None),
+        ("primary", None, None, 2, 23.0, None),
+        ("road", "A", "r1", 2, 3.0, "M1"), ("road", "A", "r2", 1, 7.0, ""), ("road", "A", "r3", 1, 0.0, None),
+        ("road", "B", "r1", 1, 5.0, "M1"), ("road", "C", "r4", 1, 11.0, "M4"),
+    ]

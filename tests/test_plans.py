@@ -71,3 +71,18 @@ def test_scans_read_only_what_they_need(spark, sf):
     plan = plan_of(queries()["road_hour_profile"](spark, sf))
     line = next(p for p in plan.splitlines() if "FileScan parquet" in p and "l_orderkey" in p)
     assert "l_extendedprice" not in line and "l_quantity" in line
+
+
+def test_gold_is_evaluated_once(spark, sf, tmp_path):
+    """The fold of partial rows and the series of minutes read stored gold once: other uses share its exchange."""
+    from roadpulse.operators import analytics, gold
+    from roadpulse.plans import inputs
+
+    inputs.gold_partials(spark, sf).limit(50).write.parquet(str(tmp_path / "partials"))
+    inputs.live(spark, sf).limit(50).write.parquet(str(tmp_path / "gold"))
+    merged = gold.merge_gold_partials(spark.read.parquet(str(tmp_path / "partials")))
+    assert plan_of(merged).count("FileScan parquet") == 1
+    series = analytics.minute_series(spark.read.parquet(str(tmp_path / "gold")), minutes=60)
+    series.collect()
+    plan = plan_of(series)
+    assert "scalar-subquery" not in plan and "ReusedExchange" in plan
