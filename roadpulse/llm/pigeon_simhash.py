@@ -24,7 +24,8 @@ MOST_BITS = 4
 BOXES = 13
 SHINGLE = 4
 SEED = 42
-# Keys with more fingerprints than this are linked through shared neighbours instead of by pairs.
+# Keys with more fingerprints than this are split by one more box of the chain; those that are still
+# fuller are linked through shared neighbours instead of by pairs.
 PAIRED = 128
 SLICE_BYTES = 8 << 20
 
@@ -79,21 +80,40 @@ def _box(fp: Column, box: tuple[int, int]) -> Column:
     return F.shiftrightunsigned(fp, box[0]).bitwiseAND(F.lit((1 << box[1]) - 1))
 
 
-def chain_keys(fp: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
-    """One key per start on the ring and per box that may differ among those with a budget of one."""
+def _chains(boxes: int, most: int) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+    """The join keys as boxes: per start on the ring and per box that may differ among those with a
+    budget of one, the boxes that are equal, and the next boxes, those with a budget of two."""
     ring, budgets = _boxes(boxes), _budgets(boxes, most)
-    equal, loose = budgets.count(0), budgets.count(1)
-    keys, number = [], 0
+    equal, loose, wider = (budgets.count(n) for n in range(3))
+    found = []
     for start in range(boxes):
-        near = [ring[(start + n) % boxes] for n in range(equal + loose)]
+        near = [ring[(start + n) % boxes] for n in range(equal + loose + wider)]
         for left_out in range(loose):
-            used = near[:equal] + [b for n, b in enumerate(near[equal:]) if n != left_out]
-            key = F.lit(number).cast("long")
-            for box in used:
-                key = F.shiftleft(key, box[1]).bitwiseOR(_box(fp, box))
-            keys.append(key)
-            number += 1
-    return F.array(*keys)
+            used = near[:equal] + [b for n, b in enumerate(near[equal : equal + loose]) if n != left_out]
+            found.append((used, near[equal + loose :]))
+    return found
+
+
+def _key(number: int, fp: Column, used: list[tuple[int, int]]) -> Column:
+    key = F.lit(number).cast("long")
+    for box in used:
+        key = F.shiftleft(key, box[1]).bitwiseOR(_box(fp, box))
+    return key
+
+
+def chain_keys(fp: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
+    """One key per start on the ring and per box that may differ among those with a budget of one."""
+    return F.array(*[_key(n, fp, used) for n, (used, _) in enumerate(_chains(boxes, most))])
+
+
+def longer_keys(fp: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
+    """Each key of ``chain_keys`` with the keys that it is split into: one more box of the chain, each
+    of those with a budget of two in turn. At most two bits differ up to there, so of three such boxes
+    one is equal: a pair that shares the short key and its chain shares one of the longer ones."""
+    return F.array(*[
+        F.struct(_key(n, fp, used).alias("key"), F.array(*[
+            _key(len(after) * n + m, fp, [*used, box]) for m, box in enumerate(after)]).alias("longer"))
+        for n, (used, after) in enumerate(_chains(boxes, most))])
 
 
 def viable_chain(difference: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
@@ -110,38 +130,54 @@ def viable_chain(difference: Column, boxes: int = BOXES, most: int = MOST_BITS)
     return found
 
 
+def _full(keys: DataFrame, paired: int) -> DataFrame:
+    return stored(keys.groupBy("key").count().where(F.col("count") > paired).select("key"), "full-keys")
+
+
 def linked(prints: DataFrame, boxes: int = BOXES, most: int = MOST_BITS, paired: int = PAIRED) -> DataFrame:
     """Links (a, b) among distinct fingerprints ``fp`` that have the same components as all pairs
     at ``most`` or fewer differing bits. Every pair that shares a key of at most ``paired``
-    fingerprints is checked. Fingerprints of fuller keys go, each by itself, to all points within
-    ``most`` / 2 bits: two that meet at a point are linked, and every linked pair meets, so a large
-    group costs its size and not its square."""
-    keys = prints.select("fp", F.explode(chain_keys(F.col("fp"), boxes, most)).alias("key"))
-    full = stored(keys.groupBy("key").count().where(F.col("count") > paired).select("key"), "full-keys")
-    dealt = keys.join(full, "key", "left_anti")
+    fingerprints is checked. Fuller keys, which come with many fingerprints, are split by one more
+    box of the chain. Fingerprints whose longer keys are full as well, a group of near copies, go,
+    each by itself, to all points within ``most`` / 2 bits: two that meet at a point are linked,
+    and every linked pair meets, so a large group costs its size and not its square."""
+    if most != 4 or _budgets(boxes, most).count(2) < 3:
+        raise ValueError("longer keys and meeting points are built for 4 differing bits")
     before = Window.partitionBy("key").orderBy("fp").rowsBetween(-paired, -1)
     near = F.filter("earlier", lambda o: viable_chain(o.bitwiseXOR(F.col("fp")), boxes, most)
                     & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= most))
-    pairs = dealt.withColumn("earlier", F.collect_list("fp").over(before)).where(F.size("earlier") > 0).select(
-        F.col("fp").alias("a"), F.explode(near).alias("b"))
+
+    def pairs(keys: DataFrame, full: DataFrame) -> DataFrame:
+        dealt = keys.join(full, "key", "left_anti")
+        return dealt.withColumn("earlier", F.collect_list("fp").over(before)).where(F.size("earlier") > 0).select(
+            F.col("fp").alias("a"), F.explode(near).alias("b"))
+
+    keys = prints.select("fp", F.explode(chain_keys(F.col("fp"), boxes, most)).alias("key"))
+    full = _full(keys, paired)
+    found = pairs(keys, full)
     if full.isEmpty():
-        return pairs
-    crowded = keys.join(full, "key", "left_semi").select("fp").distinct()
+        return found
+    both = prints.select("fp", F.explode(longer_keys(F.col("fp"), boxes, most)).alias("k")).select("fp", "k.*")
+    longer = stored(both.join(full, "key", "left_semi").select("fp", F.explode("longer").alias("key")), "longer-keys")
+    fuller = _full(longer, paired)
+    found = found.unionByName(pairs(longer, fuller))
+    if fuller.isEmpty():
+        return found
+    crowded = longer.join(fuller, "key", "left_semi").select("fp").distinct()
     masks = [0] + [1 << i for i in range(BITS)] + [1 << i | 1 << j for i in range(BITS) for j in range(i)]
-    if most // 2 != 2 or most % 2:
-        raise ValueError("full keys are built for 4 differing bits")
     signed = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m) for m in masks])
     points = stored(crowded, "crowded").repartition("fp").select("fp", F.explode(signed).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("point"))
     meeting = points.groupBy("point").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b != top").select("point", "b")
-    return pairs.unionByName(points.join(meeting, "point").select(F.col("fp").alias("a"), "b").where("a != b").distinct())
+    return found.unionByName(points.join(meeting, "point").select(F.col("fp").alias("a"), "b").where("a != b").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the smallest id among all documents that the links reach).
 
     Equal fingerprints are linked, so documents are first reduced to distinct fingerprints. Empty
-    and null texts have fingerprint 0 and are linked like any other. A null id is kept, but gives
+    and null texts have fingerprint 0 and are linked like any other; texts of any length are taken
+    whole, one at a time, and repeated rows share a component. A null id is kept, but gives
     its component no name (null if all ids of it are null). An empty table gives no rows."""
     return _rooted(docs, id_column, text_column).select("doc_id", "fp", "component_id")
 

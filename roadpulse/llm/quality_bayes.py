@@ -122,13 +122,17 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, held
     nothing). Labels of ids for which ``held_out`` is true are not used. Null hosts and paths are
     sites of their own. Null and empty texts are scored by the features of an empty text. A site of
     one document says nothing beyond its parent. Without labels doc_score is 0.5. Repeated rows
-    count as often as they occur. Sites of any size are pre-aggregated; the texts are not shuffled."""
+    count as often as they occur; of rows that share an id and differ in their text, the one with the
+    least features teaches, all are scored. Texts of any length are read whole, one at a time. Other
+    columns of ``docs`` and ``labels``, whatever their names, play no part. Sites of any size are pre-aggregated; the texts are not shuffled."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        host.cast("string").alias("host"), path.cast("string").alias("path"))
     described = stored(_described(rows), "quality-features")
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    sample = described.join(F.broadcast(usable), "doc_id").select("doc_id", "x", "quality").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # Of several rows of an id the least features teach, so that a rerun fits the same model.
+    sample = described.join(F.broadcast(usable), "doc_id").groupBy("doc_id").agg(
+        F.min("x").alias("x"), F.max("quality").alias("quality")).orderBy("doc_id").collect()
     model = Classifier(np.array([r.x for r in sample], float).reshape(-1, FEATURES), np.array([r.quality for r in sample], float))
     judged = stored(_judged(described, model), "quality-evidence")
 

@@ -228,7 +228,7 @@ def test_simhash(spark, sf, documents):
     assert len(set(names.values())) < len(names)
 
 
-@pytest.mark.parametrize("paired", [128, 3])
+@pytest.mark.parametrize("paired", [128, 8, 3])
 def test_links_reach_what_all_pairs_reach(spark, paired):
     from pyspark.sql import functions as F
 
@@ -370,3 +370,87 @@ def test_quality(spark, odd, none):
     for teach in (strange, strange.limit(0)):
         assert quality_bayes.quality(odd, teach, F.col("source"), F.col("lang")).count() == len(ROWS)
         assert quality_bayes.quality(none, teach, F.col("source"), F.col("lang")).count() == 0
+
+
+def test_full_keys_are_split_before_points_are_used(spark):
+    """Fingerprints that agree in the boxes of a key only: the longer keys tell them apart."""
+    rng = np.random.default_rng(4)
+    same = (1 << 30) - 1
+    prints = {int(x) & ~same & ((1 << 63) - 1) for x in rng.integers(0, 1 << 63, 300)}
+    near = {p ^ 1 << 40 ^ 1 << 50 for p in list(prints)[:40]}
+    frame = spark.createDataFrame([(p,) for p in sorted(prints | near)], "fp long")
+    links = pigeon_simhash.linked(frame, paired=128)
+    assert "point" not in links._jdf.queryExecution().analyzed().toString()
+    got = {tuple(sorted(r)) for r in links.collect()}
+    both = sorted(prints | near)
+    assert got == {(a, b) for n, a in enumerate(both) for b in both[n + 1 :] if (a ^ b).bit_count() <= 4} and len(got) >= 40
+    with pytest.raises(ValueError):
+        pigeon_simhash.linked(frame.limit(0), most=6)
+
+
+def test_quality_of_repeated_ids_is_the_same_again(spark):
+    """Rows of one id with different texts: one of them teaches, whatever the order of the rows."""
+    from pyspark.sql import functions as F
+
+    rows = [(n, text, "h", "p") for n in range(60) for text in (f"a calm line of words {n}", "LOUD!!! " * (n + 1))]
+    marks = spark.createDataFrame([(n, n % 2) for n in range(60)], "doc_id long, quality int")
+    results = []
+    for given in (rows, rows[::-1]):
+        frame = spark.createDataFrame(given, "doc_id long, text string, host string, path string").repartition(3)
+        results.append(sorted((r.doc_id, round(r.doc_score, 12)) for r in quality_bayes.quality(frame, marks, F.col("host"), F.col("path")).collect()))
+    assert results[0] == results[1] and len(results[0]) == len(rows)
+
+
+def _strength(sites):
+    """Brute force of the prior strength: sites of (n, sum, sum of squares, prior)."""
+    many = [s for s in sites if s[0] > 1]
+    spread = np.mean([(k / n - prior) ** 2 for n, k, _, prior in many])
+    noise = np.mean([(sq / n - (k / n) ** 2) / (n - 1) for n, k, sq, _ in many])
+    whole = np.mean([prior * (1 - prior) for *_, prior in many])
+    return float(np.clip(whole / max(spread - noise, 1e-9) - 1, quality_bayes.LEAST_STRENGTH, quality_bayes.MOST_STRENGTH))
+
+
+def test_registered_quality_against_brute_force(spark, sf, documents):
+    found = q.queries()["op2_quality_bayes"](spark, sf).collect()
+    docs = {r.doc_id: r for r in documents.collect()}
+    assert {(r.doc_id, r.host, r.path) for r in found} == {(d, r.source, r.lang) for d, r in docs.items()} and len(found) == len(docs)
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for r in found:
+        hosts[r.host].append(r.doc_score)
+        paths[r.host, r.path].append(r.doc_score)
+    total = lambda ps: (len(ps), sum(ps), sum(p * p for p in ps))
+    mean = sum(r.doc_score for r in found) / len(found)
+    host_strength = _strength([(*total(ps), mean) for ps in hosts.values()])
+    prior = {h: (sum(ps) + host_strength * mean) / (len(ps) + host_strength) for h, ps in hosts.items()}
+    path_strength = _strength([(*total(ps), prior[h]) for (h, _), ps in paths.items()])
+    logit = lambda p: np.log(min(max(p, 1e-6), 1 - 1e-6)) - np.log(1 - min(max(p, 1e-6), 1 - 1e-6))
+    for r in found:
+        of_host, of_path = hosts[r.host], paths[r.host, r.path]
+        host = (sum(of_host) - r.doc_score + host_strength * mean) / (len(of_host) - 1 + host_strength)
+        path = (sum(of_path) - r.doc_score + path_strength * host) / (len(of_path) - 1 + path_strength)
+        score = 1 / (1 + np.exp(-(logit(r.doc_score) + logit(path) - logit(mean))))
+        assert np.allclose([r.host_posterior, r.path_posterior, r.score], [host, path, score], rtol=1e-6, atol=1e-9)
+        assert r.predicted == int(r.score >= quality_bayes.KEPT_FROM)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
+def test_registered_language_and_toxicity_columns(spark, sf, documents):
+    docs = {r.doc_id: r for r in documents.collect()}
+    langs = {r.lang for r in docs.values()} - {None}
+    found = q.queries()["op7_hyper_lang"](spark, sf)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    got = found.collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        letters = any(c.isalpha() for c in docs[r.doc_id].text or "")
+        assert r.lang_pred in langs if letters else r.lang_pred == "und"
+    held = [r for r in got if r.held_out and docs[r.doc_id].lang]
+    assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in held]) > 0.9
+    found = q.queries()["op9_zstd_toxicity"](spark, sf)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = found.collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.7)
