@@ -27,6 +27,8 @@ SEED = 42
 # Keys with more fingerprints than this are split by one more box of the chain; those that are still
 # fuller are linked through shared neighbours instead of by pairs.
 PAIRED = 128
+# Boxes with a budget up to two span fewer bits than this on the ring; the number of the key stands above them.
+CHAIN_BITS = 48
 SLICE_BYTES = 8 << 20
 
 
@@ -76,58 +78,72 @@ def _budgets(boxes: int, most: int) -> list[int]:
     return [(n + 1) * most // boxes for n in range(boxes)]
 
 
-def _box(fp: Column, box: tuple[int, int]) -> Column:
-    return F.shiftrightunsigned(fp, box[0]).bitwiseAND(F.lit((1 << box[1]) - 1))
+def _signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def _chains(boxes: int, most: int) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
-    """The join keys as boxes: per start on the ring and per box that may differ among those with a
-    budget of one, the boxes that are equal, and the next boxes, those with a budget of two."""
-    ring, budgets = _boxes(boxes), _budgets(boxes, most)
+def _chains(boxes: int, most: int) -> list[tuple[int, list[int], list[int]]]:
+    """The join keys as numbers of boxes: per start on the ring and per box that may differ among those
+    with a budget of one, that start, the boxes that are equal, and the next boxes, those with a budget of two."""
+    budgets = _budgets(boxes, most)
     equal, loose, wider = (budgets.count(n) for n in range(3))
     found = []
     for start in range(boxes):
-        near = [ring[(start + n) % boxes] for n in range(equal + loose + wider)]
+        near = [(start + n) % boxes for n in range(equal + loose + wider)]
         for left_out in range(loose):
             used = near[:equal] + [b for n, b in enumerate(near[equal : equal + loose]) if n != left_out]
-            found.append((used, near[equal + loose :]))
+            found.append((start, used, near[equal + loose :]))
     return found
 
 
-def _key(number: int, fp: Column, used: list[tuple[int, int]]) -> Column:
-    key = F.lit(number).cast("long")
-    for box in used:
-        key = F.shiftleft(key, box[1]).bitwiseOR(_box(fp, box))
-    return key
+def _cut(number: int, start: int, used: list[int], boxes: int) -> Column:
+    """How a key is cut out of a fingerprint: its number, the turn that puts the chain's start first, the bits of its boxes."""
+    ring, mask = _boxes(boxes), 0
+    for first, width in (ring[n] for n in used):
+        mask |= ((1 << width) - 1) << (first - ring[start][0]) % BITS
+    return F.struct(F.lit(number).cast("long").alias("number"), F.lit(ring[start][0]).alias("turn"), F.lit(mask).cast("long").alias("mask"))
+
 
+def _keyed(rows: DataFrame, cuts: Column) -> DataFrame:
+    """fp and key for each of ``cuts``. These are values of one literal: an expression for each key would
+    make plans and generated code of megabytes, which the driver holds again for every step of a query."""
+    turn = F.col("cut.turn")
+    turned = F.call_function("shiftrightunsigned", "fp", turn).bitwiseOR(F.call_function("shiftleft", "fp", F.lit(BITS) - turn))
+    key = F.shiftleft(F.col("cut.number"), CHAIN_BITS).bitwiseOR(turned.bitwiseAND(F.col("cut.mask")))
+    return rows.select("fp", F.explode(cuts).alias("cut")).select("fp", key.alias("key"))
 
-def chain_keys(fp: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
-    """One key per start on the ring and per box that may differ among those with a budget of one."""
-    return F.array(*[_key(n, fp, used) for n, (used, _) in enumerate(_chains(boxes, most))])
 
+def chain_keys(prints: DataFrame, boxes: int = BOXES, most: int = MOST_BITS) -> DataFrame:
+    """fp and key: one per start on the ring and per box that may differ among those with a budget of one."""
+    return _keyed(prints, F.array(*[_cut(n, start, used, boxes) for n, (start, used, _) in enumerate(_chains(boxes, most))]))
 
-def longer_keys(fp: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
-    """Each key of ``chain_keys`` with the keys that it is split into: one more box of the chain, each
+
+def longer_keys(keys: DataFrame, boxes: int = BOXES, most: int = MOST_BITS) -> DataFrame:
+    """fp and the keys that each row of ``chain_keys`` is split into: one more box of the chain, each
     of those with a budget of two in turn. At most two bits differ up to there, so of three such boxes
     one is equal: a pair that shares the short key and its chain shares one of the longer ones."""
-    return F.array(*[
-        F.struct(_key(n, fp, used).alias("key"), F.array(*[
-            _key(len(after) * n + m, fp, [*used, box]) for m, box in enumerate(after)]).alias("longer"))
-        for n, (used, after) in enumerate(_chains(boxes, most))])
+    cuts = F.array(*[
+        F.array(*[_cut(len(after) * n + m, start, [*used, box], boxes) for m, box in enumerate(after)])
+        for n, (start, used, after) in enumerate(_chains(boxes, most))])
+    return _keyed(keys, F.get(cuts, F.shiftrightunsigned("key", CHAIN_BITS).cast("int")))
 
 
 def viable_chain(difference: Column, boxes: int = BOXES, most: int = MOST_BITS) -> Column:
-    """Whether some start has a chain in which every first l boxes keep to the budget of l."""
-    counts = [F.bit_count(_box(difference, b)) for b in _boxes(boxes)]
-    budgets, found = _budgets(boxes, most), F.lit(False)
-    for start in range(boxes):
-        chain, upto = F.lit(True), F.lit(0)
-        for n, budget in enumerate(budgets):
-            upto = upto + counts[(start + n) % boxes]
-            if n + 1 == boxes or budget != budgets[n + 1]:  # the last length with this budget says it all
-                chain = chain & (upto <= budget)
-        found = found | chain
-    return found
+    """Whether some start has a chain in which every first l boxes keep to the budget of l. The last
+    length with a budget says it all, so a start has one mask per budget."""
+    ring, budgets = _boxes(boxes), _budgets(boxes, most)
+    lengths = [n + 1 for n, budget in enumerate(budgets) if n + 1 == boxes or budget != budgets[n + 1]]
+    mask = lambda start, length: sum(
+        ((1 << width) - 1) << first for first, width in (ring[(start + n) % boxes] for n in range(length)))
+    masks = F.array(*[F.array(*[F.lit(_signed(mask(start, n))).cast("long") for n in lengths]) for start in range(boxes)])
+
+    def viable(chain: Column) -> Column:
+        kept = F.lit(True)
+        for at, length in enumerate(lengths):
+            kept = kept & (F.bit_count(difference.bitwiseAND(F.get(chain, F.lit(at)))) <= budgets[length - 1])
+        return kept
+
+    return F.exists(masks, viable)
 
 
 def _full(keys: DataFrame, paired: int) -> DataFrame:
@@ -152,22 +168,22 @@ def linked(prints: DataFrame, boxes: int = BOXES, most: int = MOST_BITS, paired:
         return dealt.withColumn("earlier", F.collect_list("fp").over(before)).where(F.size("earlier") > 0).select(
             F.col("fp").alias("a"), F.explode(near).alias("b"))
 
-    keys = prints.select("fp", F.explode(chain_keys(F.col("fp"), boxes, most)).alias("key"))
+    keys = chain_keys(prints, boxes, most)
     full = _full(keys, paired)
     found = pairs(keys, full)
     if full.isEmpty():
         return found
-    both = prints.select("fp", F.explode(longer_keys(F.col("fp"), boxes, most)).alias("k")).select("fp", "k.*")
-    longer = stored(both.join(full, "key", "left_semi").select("fp", F.explode("longer").alias("key")), "longer-keys")
+    longer = stored(longer_keys(keys.join(full, "key", "left_semi"), boxes, most), "longer-keys")
     fuller = _full(longer, paired)
     found = found.unionByName(pairs(longer, fuller))
     if fuller.isEmpty():
         return found
     crowded = longer.join(fuller, "key", "left_semi").select("fp").distinct()
-    masks = [0] + [1 << i for i in range(BITS)] + [1 << i | 1 << j for i in range(BITS) for j in range(i)]
-    signed = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m) for m in masks])
-    points = stored(crowded, "crowded").repartition("fp").select("fp", F.explode(signed).alias("mask")).select(
-        "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("point"))
+    # All masks of at most two bits: bits i and j up to i, one bit where they are equal, none where j is -1.
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), F.col(n).cast("int"))
+    points = stored(crowded, "crowded").repartition("fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("i"))
+    points = points.select("fp", "i", F.explode(F.sequence(F.when(F.col("i") == 0, -1).otherwise(0), F.col("i"))).alias("j"))
+    points = points.select("fp", F.col("fp").bitwiseXOR(F.when(F.col("j") < 0, 0).otherwise(bit("i").bitwiseOR(bit("j")))).alias("point"))
     meeting = points.groupBy("point").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b != top").select("point", "b")
     return found.unionByName(points.join(meeting, "point").select(F.col("fp").alias("a"), "b").where("a != b").distinct())
 

@@ -388,6 +388,16 @@ def test_full_keys_are_split_before_points_are_used(spark):
         pigeon_simhash.linked(frame.limit(0), most=6)
 
 
+def test_plan_of_links_stays_small(spark):
+    """The driver holds the plan again for every step of a query: keys and chains are no expression each."""
+    rng = np.random.default_rng(5)
+    centre = int(rng.integers(0, 1 << 62))
+    prints = {centre ^ 1 << int(i) ^ 1 << int(j) for i, j in rng.integers(0, 62, (300, 2))}
+    links = pigeon_simhash.linked(spark.createDataFrame([(p,) for p in sorted(prints)], "fp long"), paired=8)
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "point" in plan and len(plan) < 30_000
+
+
 def test_quality_of_repeated_ids_is_the_same_again(spark):
     """Rows of one id with different texts: one of them teaches, whatever the order of the rows."""
     from pyspark.sql import functions as F
