@@ -153,20 +153,24 @@ def _full(keys: DataFrame, paired: int) -> DataFrame:
 def linked(prints: DataFrame, boxes: int = BOXES, most: int = MOST_BITS, paired: int = PAIRED) -> DataFrame:
     """Links (a, b) among distinct fingerprints ``fp`` that have the same components as all pairs
     at ``most`` or fewer differing bits. Every pair that shares a key of at most ``paired``
-    fingerprints is checked. Fuller keys, which come with many fingerprints, are split by one more
+    fingerprints is checked. A fingerprint keeps its link to a smaller one unless a still smaller
+    one is linked to both: those two links reach the same, so by induction over (larger end, smaller
+    end) no component is cut, and a group of near copies gives links by its size, not its pairs.
+    Fuller keys, which come with many fingerprints, are split by one more
     box of the chain. Fingerprints whose longer keys are full as well, a group of near copies, go,
     each by itself, to all points within ``most`` / 2 bits: two that meet at a point are linked,
     and every linked pair meets, so a large group costs its size and not its square."""
     if most != 4 or _budgets(boxes, most).count(2) < 3:
         raise ValueError("longer keys and meeting points are built for 4 differing bits")
     before = Window.partitionBy("key").orderBy("fp").rowsBetween(-paired, -1)
-    near = F.filter("earlier", lambda o: viable_chain(o.bitwiseXOR(F.col("fp")), boxes, most)
-                    & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= most))
+    close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= most
+    near = F.filter("earlier", lambda o: viable_chain(o.bitwiseXOR(F.col("fp")), boxes, most) & close(o, F.col("fp")))
+    needed = F.filter("near", lambda o: ~F.exists("near", lambda c: (c < o) & close(c, o)))
 
     def pairs(keys: DataFrame, full: DataFrame) -> DataFrame:
         dealt = keys.join(full, "key", "left_anti")
-        return dealt.withColumn("earlier", F.collect_list("fp").over(before)).where(F.size("earlier") > 0).select(
-            F.col("fp").alias("a"), F.explode(near).alias("b"))
+        rows = dealt.withColumn("earlier", F.collect_list("fp").over(before)).where(F.size("earlier") > 0)
+        return rows.select("fp", near.alias("near")).select(F.col("fp").alias("a"), F.explode(needed).alias("b"))
 
     keys = chain_keys(prints, boxes, most)
     full = _full(keys, paired)

@@ -398,6 +398,32 @@ def test_plan_of_links_stays_small(spark):
     assert "point" in plan and len(plan) < 30_000
 
 
+def near_copies(size):
+    """Fingerprints within three bits of one, out of 16 bits: not all of them are linked to each other."""
+    rng = np.random.default_rng(6)
+    bits, found = rng.choice(64, 16, replace=False), {0}
+    while len(found) < size:
+        found.add(sum(1 << int(b) for b in rng.choice(bits, int(rng.integers(1, 4)), replace=False)))
+    return sorted(x - (1 << 64) if x >> 63 else x for x in found)
+
+
+def test_links_of_near_copies_grow_with_the_group(spark):
+    """No key is full here, so all links come from pairs: a group twice as large gave four times the links."""
+    from roadpulse.llm.connected import components
+
+    rows = []
+    for size in (60, 120):
+        prints = near_copies(size)
+        links = pigeon_simhash.linked(spark.createDataFrame([(p,) for p in prints], "fp long"))
+        assert "point" not in links._jdf.queryExecution().analyzed().toString()
+        rows.append(links.count())
+        names = plain_components({p: p % (1 << 64) for p in prints})
+        found = {r.node: r.root for r in components(links).collect()}
+        assert {p: found.get(p, p) for p in prints} == names
+        assert all(((r.a ^ r.b) % (1 << 64)).bit_count() <= 4 for r in links.collect())
+    assert rows[1] < 3 * rows[0]
+
+
 def test_quality_of_repeated_ids_is_the_same_again(spark):
     """Rows of one id with different texts: one of them teaches, whatever the order of the rows."""
     from pyspark.sql import functions as F
