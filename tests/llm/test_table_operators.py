@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadpulse.llm import hash_mix, histogram_shards, tput_search
+from roadpulse.llm import hash_mix, histogram_shards, pigeon_simhash, tput_search
 from roadpulse.llm import queries as q
 from roadpulse.llm.oracle import oracle_sql
 from tests.compare import compare, connect
@@ -223,3 +223,20 @@ def test_stages(spark, sf, odd, none):
         assert stage(spark, odd, sf).columns == odd.columns
         assert stage(spark, none, sf).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, odd, sf).count() == len(ROWS)
+
+
+def test_near_dedup_stage_on_near_copies(spark, sf, monkeypatch):
+    """Texts that differ in one word: one of each component stays, and a group twice as large gives no four times the links."""
+    made, components = [], pigeon_simhash.components
+
+    def counted(links):
+        made.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(pigeon_simhash, "components", counted)
+    for size in (60, 120):
+        rows = [(n, " ".join(f"other{n}" if at == 3 * n + 1 else f"word{at}" for at in range(400))) for n in range(size)]
+        names = plain_components({n: plain_fingerprint(text) for n, text in rows})
+        kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(names.values()))
+    assert made[1] < 3 * made[0]
